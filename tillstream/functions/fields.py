@@ -1,8 +1,10 @@
-"""Lenient reads of one field from a VARIANT column.
+"""Lenient reads of one field of a JSON record.
 
-A field is looked up under several names; the first name that is present and not JSON null
-decides. `first_present` picks that node, `node_kind` names its type, and the `*_of`
-functions turn it into a value without ever failing a row.
+`parse_fields` reads a record once, into the raw text of each known field. A field is looked
+up under several names; the first that is present and not JSON null decides. Raw text leaves
+out one thing, whether a value was a JSON string: `"5"` and `5` look alike. Where that can
+matter at all, and only there, the record is read again as VARIANT to tell (`kind_of`). Values
+never fail a row.
 """
 
 from __future__ import annotations
@@ -12,81 +14,102 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_LONG_MAX = 9223372036854775807
+MALFORMED = "malformed_text"
 
+# JSON numbers with a fraction or an exponent, as raw text.
+_FRACTIONAL = r"^-?\d+(\.\d+([eE][+-]?\d+)?|[eE][+-]?\d+)\z"
+
+# Special values the cast to double takes under more spellings than it should.
+_SPECIAL = r"(?i)^[\x00-\x20]*[+-]?(nan|inf|infinity)[\x00-\x20]*\z"
+_SPECIAL_EXACT = r"^[\x00-\x20]*[+-]?(NaN|Infinity)[\x00-\x20]*\z"
+
+
+def parse_fields(text: Column, names: Sequence[str]) -> Column:
+    """Struct with the raw text of each name, and the whole text where it is no JSON object.
+
+    One pass over the text, in which unknown fields are skipped. A repeated name takes its
+    last value. Quotes and numbers must be as the JSON grammar has them.
+    """
+    columns = ", ".join(f"`{name}` STRING" for name in (*names, MALFORMED))
+    return F.from_json(text, columns, {
+        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED,
+        "allowSingleQuotes": "false", "allowNonNumericNumbers": "false",
+    })
 
-def first_present(json: Column, names: Sequence[str]) -> Column:
-    """Node of the first alias that is present and not JSON null, else NULL."""
-    nodes = [F.try_variant_get(json, f"$.{name}", "variant") for name in names]
-    return F.coalesce(*[F.when(~F.is_variant_null(node), node) for node in nodes])
 
+def first_present(json: Column, names: Sequence[str]) -> Column:
+    """Raw text of the first alias that is present and not JSON null, else NULL."""
+    return F.coalesce(*[json[name] for name in names])
 
-def node_kind(node: Column) -> Column:
-    """Type text of a node: BIGINT, STRING, DECIMAL(p,s), DOUBLE, BOOLEAN, OBJECT<..>, ARRAY<..>."""
-    return F.schema_of_variant(node)
 
+def kind_of(variant: Column, names: Sequence[str]) -> Column:
+    """JSON type of the same alias in a VARIANT of the record.
 
-def node_text(node: Column) -> Column:
-    return F.try_variant_get(node, "$", "string")
+    One of BIGINT, STRING, DECIMAL(p,s), DOUBLE, BOOLEAN, OBJECT<..>, ARRAY<..>.
+    """
+    nodes = [F.try_variant_get(variant, f"$.{name}", "variant") for name in names]
+    return F.schema_of_variant(
+        F.coalesce(*[F.when(~F.is_variant_null(node), node) for node in nodes]))
 
 
-def node_double(node: Column) -> Column:
-    return F.try_variant_get(node, "$", "double")
+def is_fractional(text: Column) -> Column:
+    return text.rlike(_FRACTIONAL)
 
 
-def is_fractional(kind: Column) -> Column:
-    """True for JSON numbers written with a fraction or exponent (or too long for 64 bits)."""
-    return kind.startswith("DECIMAL") | (kind == "DOUBLE")
+def string_needs_kind(text: Column) -> Column:
+    """True where a JSON string and another value with this raw text give different strings."""
+    first = F.ascii(text)
+    return first.isin(*map(ord, "[{")) | (
+        (first.between(48, 57) | (first == ord("-"))) & (is_fractional(text) | (text == "-0")))
 
 
-def string_of(node: Column, kind: Column) -> Column:
+def string_of(text: Column, kind: Column) -> Column:
     """Scalar as text; '' for objects, arrays and absent fields.
 
-    Numbers with a fraction print as doubles do (`5.0`, not `5`); integers beyond 64 bits
-    keep their digits.
+    Numbers with a fraction or exponent print as doubles do: `1e3` as `1000.0`.
     """
-    digits = F.try_variant_get(node, "$", "decimal(38,0)")
-    long_integer = kind.rlike(r"^DECIMAL\(\d+,0\)$") & (F.abs(digits) > F.lit(_LONG_MAX))
-    return F.coalesce(
-        F.when(kind.isin("STRING", "BIGINT", "BOOLEAN"), node_text(node))
-        .when(long_integer, digits.cast("string"))
-        .when(is_fractional(kind), node_double(node).cast("string")),
-        F.lit(""),
+    return (
+        F.when(text.isNull(), F.lit(""))
+        .when(~string_needs_kind(text), text)
+        .when(kind == "STRING", text)
+        .when(text == "-0", F.lit("0"))
+        .when(is_fractional(text),
+              F.when(is_fractional(text), text).try_cast("double").cast("string"))
+        .otherwise(F.lit(""))
     )
 
 
-def double_of(node: Column, kind: Column) -> Column:
+def double_needs_kind(text: Column) -> Column:
+    return text == "true"
+
+
+def double_of(text: Column, kind: Column) -> Column:
     """Number as double, text parsed as double, true as 1.0; 0.0 for all else."""
-    return F.coalesce(
-        F.when(kind == "STRING", text_to_double(node_text(node)))
-        .when((kind == "BIGINT") | (kind == "BOOLEAN") | is_fractional(kind), node_double(node)),
-        F.lit(0.0),
-    )
+    return F.when(double_needs_kind(text) & (kind == "BOOLEAN"), F.lit(1.0)).otherwise(
+        text_to_double(text))
 
 
 def text_to_double(text: Column) -> Column:
-    """Parse text as a double, NULL where that fails.
+    """Text parsed as double, 0.0 where that fails.
 
-    The cast also takes short and lower-case names of the special values; only the exact
-    spellings `NaN` and `Infinity`, with an optional sign, count here.
+    Special values must be spelled `NaN` or `Infinity`, with an optional sign.
     """
-    bare = F.regexp_replace(text, r"^[\x00-\x20]+|[\x00-\x20]+\z", "")
+    number = text.try_cast("double")
+    # Zero for finite numbers alone, so only the rest pays for the look at the text.
+    finite = number - number == 0.0
     return (
-        F.when(bare.rlike(r"^[+-]?NaN\z"), F.lit(float("nan")))
-        .when(bare.rlike(r"(?i)^[+-]?nan\z"), F.lit(None).cast("double"))
-        .when(bare.rlike(r"(?i)^[+-]?inf(inity)?\z") & ~bare.rlike(r"^[+-]?Infinity\z"),
-              F.lit(None).cast("double"))
-        .otherwise(bare.try_cast("double"))
+        F.when(finite, number)
+        .when(text.rlike(_SPECIAL_EXACT) & text.contains("NaN"), F.lit(float("nan")))
+        .when(number.isNull() | (text.rlike(_SPECIAL) & ~text.rlike(_SPECIAL_EXACT)), F.lit(0.0))
+        .otherwise(F.coalesce(number, F.lit(0.0)))
     )
 
 
-def alias_string(json: Column, names: Sequence[str]) -> Column:
-    """One-expression form of `first_present` + `string_of`."""
-    node = first_present(json, names)
-    return string_of(node, node_kind(node))
+def alias_string(json: Column, variant: Column, names: Sequence[str]) -> Column:
+    """`string_of` for the first alias present, from the parsed fields and the record's VARIANT."""
+    return string_of(first_present(json, names), kind_of(variant, names))
 
 
-def lenient_double(json: Column, names: Sequence[str]) -> Column:
-    """One-expression form of `first_present` + `double_of`."""
-    node = first_present(json, names)
-    return double_of(node, node_kind(node))
+def lenient_double(json: Column, variant: Column, names: Sequence[str]) -> Column:
+    """`double_of` for the first alias present."""
+    return double_of(first_present(json, names), kind_of(variant, names))

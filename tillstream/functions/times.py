@@ -8,15 +8,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tillstream import constants as C
-from tillstream.functions.fields import (
-    first_present, is_fractional, node_double, node_kind, node_text,
-)
+from tillstream.functions.fields import first_present, is_fractional, kind_of
 
 # Accepted time texts. The guards matter: a plain cast to timestamp would also take a blank
-# instead of `T`, a bare date, or surrounding spaces.
+# instead of `T`, a bare date, or surrounding spaces. Seconds may be missing only where a
+# fraction and a zone are too.
 _INTEGER = r"^[+-]?[0-9]+\z"
-_INSTANT = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,9})?(Z|[+-]\d{2}:\d{2})\z"
-_LOCAL = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?\z"
+_ISO = r"^\d{4}-\d{2}-\d{2}[Tt]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?([Zz]|[+-]\d{2}:\d{2})?)?\z"
 
 # Milliseconds whose microseconds still fit 64 bits.
 _MAX_MS = 9_223_372_036_854_775
@@ -36,39 +34,83 @@ def infer_epoch_ms(number: Column) -> Column:
     )
 
 
+# A failing cast costs an exception, and the planner may move a cast out of the branch that
+# guards it. So what does not have the right form is made NULL before the cast.
+
+def iso_to_ms(text: Column) -> Column:
+    """ISO instant, or ISO local time as UTC, in ms; NULL for any other text."""
+    return F.unix_millis(F.try_to_timestamp(F.when(text.rlike(_ISO), F.upper(text))))
+
+
+def _integer(text: Column) -> Column:
+    return F.when(text.rlike(_INTEGER), text).try_cast("bigint")
+
+
+# A failing cast costs an exception, and the planner may move a cast out of the branch that
+# guards it. So what does not have the right form is made NULL before the cast.
+
+def iso_to_ms(text: Column) -> Column:
+    """ISO instant, or ISO local time as UTC, in ms; NULL for any other text."""
+    return F.unix_millis(F.try_to_timestamp(F.when(text.rlike(_ISO), F.upper(text))))
+
+
+def _integer(text: Column) -> Column:
+    return F.when(text.rlike(_INTEGER), text).try_cast("bigint")
+
+
 def text_to_ms(text: Column) -> Column:
     """Integer text as ms (no unit inference), ISO instant, or ISO local time as UTC; else NULL."""
-    upper = F.upper(text)
-    iso = upper.rlike(_INSTANT) | upper.rlike(_LOCAL)
     return (
-        F.when(text.rlike(_INTEGER), text.try_cast("bigint"))
-        .when(iso, F.unix_millis(F.try_to_timestamp(upper)))
+        F.when(text.rlike(_ISO), iso_to_ms(text))
+        .otherwise(_integer(text))
     )
 
 
-def event_time_of(node: Column, kind: Column, now_ms: Column) -> Column:
-    """Event time in ms of one node; `now_ms` when absent or not understood.
+def _same_in_any_unit(number: Column) -> Column:
+    # A number already in the range of milliseconds reads the same as a number and as text.
+    return F.coalesce(infer_epoch_ms(number) == number, F.lit(False))
+
+
+def time_needs_kind(text: Column, iso_ms: Column) -> Column:
+    """True where a JSON string and another value with this raw text give different times.
 
-    The node is already the first alias present, so a bad value does not fall through to the
-    next alias.
+    `iso_ms` is `iso_to_ms(text)`, worked out once by the caller.
     """
-    return F.coalesce(event_time_or_null(node, kind), now_ms)
+    other = (
+        (text.rlike(_INTEGER) & ~_same_in_any_unit(_integer(text)))
+        | text.isin("true", "false") | is_fractional(text))
+    return F.when(iso_ms.isNull(), other).otherwise(F.lit(False))
 
 
-def event_time_or_null(node: Column, kind: Column) -> Column:
+def event_time_or_null(text: Column, kind: Column, iso_ms: Column) -> Column:
+    """Event time in ms of one raw value, NULL when absent or not understood.
+
+    The value is already that of the first alias present, so a bad one does not fall through
+    to the next alias. Integers get their unit inferred, integer texts are ms as they are,
+    fractions are cut off, true is 1.
+    """
+    number = _integer(text)
     return (
-        F.when(kind == "BIGINT", infer_epoch_ms(F.try_variant_get(node, "$", "bigint")))
-        .when(kind == "STRING", text_to_ms(node_text(node)))
-        .when(is_fractional(kind), node_double(node).try_cast("bigint"))
-        .when(kind == "BOOLEAN", node_double(node).try_cast("bigint"))
+        F.when(iso_ms.isNotNull(), iso_ms)
+        .when(text.rlike(_INTEGER), F.when(_same_in_any_unit(number), number)
+              .when(kind == "BIGINT", infer_epoch_ms(number))
+              .when(kind == "STRING", number))
+        .when(is_fractional(text) & (kind != "STRING"),
+              F.when(is_fractional(text), text).try_cast("double").try_cast("bigint"))
+        .when(text.isin("true", "false") & (kind == "BOOLEAN"),
+              F.when(text == "true", 1).otherwise(0).cast("bigint"))
     )
 
 
-def parse_event_time(json: Column, now_ms: Column,
+def event_time_of(text: Column, kind: Column, now_ms: Column) -> Column:
+    """`event_time_or_null`, with `now_ms` in place of NULL."""
+    return F.coalesce(event_time_or_null(text, kind, iso_to_ms(text)), now_ms)
+
+
+def parse_event_time(json: Column, variant: Column, now_ms: Column,
                      names: Sequence[str] = C.EVENT_TIME_ALIASES) -> Column:
-    """One-expression form of `first_present` + `event_time_of`."""
-    node = first_present(json, names)
-    return event_time_of(node, node_kind(node), now_ms)
+    """`event_time_of` for the first alias present."""
+    return event_time_of(first_present(json, names), kind_of(variant, names), now_ms)
 
 
 def event_timestamp(ms: Column) -> Column:

@@ -9,9 +9,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstream import constants as C
-from tillstream.functions.fields import double_of, first_present, node_kind, string_of
+from tillstream.functions.fields import (
+    MALFORMED, double_needs_kind, double_of, first_present, kind_of, parse_fields,
+    string_needs_kind, string_of,
+)
 from tillstream.functions.times import (
-    current_ms, event_time_or_null, event_timestamp,
+    current_ms, event_time_or_null, event_timestamp, iso_to_ms, time_needs_kind,
 )
 from tillstream.schemas import MONEY, UNIFIED_RECORD
 
@@ -28,21 +31,33 @@ _EVENT_COLUMNS = (
 )
 
 
-def _readable(value: Column, json: Column) -> Column:
-    # Blank text is an empty record with all defaults, not a malformed one.
-    return json.isNotNull() | value.rlike(r"^[ \t\r\n]*\z")
+_ALL_NAMES = tuple(dict.fromkeys(
+    name for names in (*_STRING_FIELDS.values(), C.AMOUNT_ALIASES, C.EVENT_TIME_ALIASES,
+                       ("source",))
+    for name in names))
+
+
+def _with_json(records: DataFrame, value: str) -> DataFrame:
+    # Exploding an array of one keeps the parse apart from the filter on its result; as a
+    # plain column it would be copied into the filter and run twice.
+    parsed = F.array(parse_fields(F.col(value), _ALL_NAMES))
+    return records.select("*", F.explode(parsed).alias("json"))
+
+
+def _readable(value: Column) -> Column:
+    """True for JSON of any kind, and for blank text, an empty record with all defaults."""
+    text = F.col(f"json.{MALFORMED}")
+    return value.isNotNull() & (text.isNull() | F.try_parse_json(text).isNotNull())
 
 
 def parse_sales_json(records: DataFrame, value: str = "value") -> DataFrame:
-    """Keep the readable records and add their VARIANT as `json`."""
-    parsed = records.withColumn("json", F.try_parse_json(F.col(value)))
-    return parsed.where(_readable(F.col(value), F.col("json")))
+    """Keep the readable records and add their parsed fields as `json`."""
+    return _with_json(records, value).where(_readable(F.col(value)))
 
 
 def quarantine(records: DataFrame, value: str = "value") -> DataFrame:
     """The records that `parse_sales_json` leaves out: malformed JSON and NULL values."""
-    readable = _readable(F.col(value), F.try_parse_json(F.col(value)))
-    return records.where(~F.coalesce(readable, F.lit(False)))
+    return _with_json(records, value).where(~_readable(F.col(value))).drop("json")
 
 
 def normalize_sales(records: DataFrame, source: str | None = None, value: str = "value",
@@ -60,19 +75,29 @@ def normalize_sales(records: DataFrame, source: str | None = None, value: str =
         "amount": C.AMOUNT_ALIASES,
         "event_time_ms": C.EVENT_TIME_ALIASES,
     }
-    # Three projections, so that each node and its type is worked out once per row.
-    nodes = parse_sales_json(records, value).select(
+    raw = parse_sales_json(records, value).select(
+        F.col(value).alias("record"),
         *[first_present(F.col("json"), names).alias(name) for name, names in fields.items()])
-    typed = nodes.select("*", *[node_kind(F.col(name)).alias(f"{name}_kind") for name in fields])
+    # Read as VARIANT only the records in which the JSON type of some value matters.
+    raw = raw.withColumn("iso_ms", iso_to_ms(F.col("event_time_ms")))
+    in_doubt = time_needs_kind(F.col("event_time_ms"), F.col("iso_ms")) | double_needs_kind(F.col("amount"))
+    for name in fields:
+        if name not in ("amount", "event_time_ms"):
+            in_doubt = in_doubt | string_needs_kind(F.col(name))
+    typed = raw.withColumn("typed", F.when(in_doubt, F.try_parse_json("record")))
+
+    def kind(name: str) -> Column:
+        return kind_of(F.col("typed"), fields[name])
 
-    def text(name: str) -> Column:
-        return string_of(F.col(name), F.col(f"{name}_kind")).alias(name)
+    def string(name: str) -> Column:
+        return string_of(F.col(name), kind(name)).alias(name)
 
     values = typed.select(
-        *[text(name) for name in _STRING_FIELDS],
-        double_of(F.col("amount"), F.col("amount_kind")).alias("amount"),
-        event_time_or_null(F.col("event_time_ms"), F.col("event_time_ms_kind")).alias("parsed_ms"),
-        (text("source") if source is None else F.lit(source)).alias("source"),
+        *[string(name) for name in _STRING_FIELDS],
+        double_of(F.col("amount"), kind("amount")).alias("amount"),
+        event_time_or_null(F.col("event_time_ms"), kind("event_time_ms"), F.col("iso_ms"))
+        .alias("parsed_ms"),
+        (string("source") if source is None else F.lit(source)).alias("source"),
     )
     events = values.select(
         "sale_id", "salesman_name", "city", "country", "amount", "product",

@@ -51,27 +51,31 @@ def _of_country(rankings: DataFrame, country: str | None) -> DataFrame:
     return rankings if country is None else rankings.where(F.col("country") == country)
 
 
+def _on_date_of(log: DataFrame, window_start: Column) -> DataFrame:
+    """Read only the date partition of a window, where the table has one."""
+    if "window_date" not in log.columns:
+        return log
+    return log.where(F.col("window_date") == F.to_date(window_start))
+
+
 def latest_rankings(log: DataFrame, country: str | None = None,
                     limit: int = C.DEFAULT_LIMIT) -> DataFrame:
     """Rows of the newest window, by rank.
 
     Without a country every key of the newest window survives `latest_by_key`, so its start is
-    the plain maximum of a partition column. The window filter is on a key and moves below
-    `latest_by_key` to the scan, where it prunes partitions at run time.
+    a plain maximum. The start found prunes the scan of the rows to one date at run time.
     """
-    if country is None:
-        newest = log.agg(F.max("window_start").alias("newest_start"))
-    else:
-        newest = _of_country(latest_by_key(log), country).agg(
-            F.max("window_start").alias("newest_start"))
-    rows = latest_by_key(log).where(F.col("window_start") == newest.scalar())
+    known = log if country is None else _of_country(latest_by_key(log), country)
+    newest = known.agg(F.max("window_start").alias("newest_start")).scalar()
+    rows = latest_by_key(_on_date_of(log, newest)).where(F.col("window_start") == newest)
     return by_rank(_of_country(rows, country), limit)
 
 
 def rankings_for_window(log: DataFrame, window: str, country: str | None = None,
                         limit: int = C.DEFAULT_LIMIT) -> DataFrame:
     """Rows of the window that starts at the given time, by rank."""
-    rows = latest_by_key(log).where(F.col("window_start") == window_of_text(window))
+    start = window_of_text(window)
+    rows = latest_by_key(_on_date_of(log, start)).where(F.col("window_start") == start)
     return by_rank(_of_country(rows, country), limit)
 
 

@@ -23,7 +23,9 @@ from tillstream.plans.events import (
     stream_events,
 )
 from tillstream.session import configure, run_dir
-from tillstream.sinks.rankings import ranking_rows, read_rankings, write_rankings
+from tillstream.sinks.rankings import (
+    append_rankings, ranking_rows, read_rankings, replace_rankings,
+)
 from tillstream.sinks.topic import to_topic_records, unified_records, write_topic
 from tillstream.sources.csv_sales import read_csv_sales, read_csv_sales_by_name
 from tillstream.sources.legacy import read_legacy_sales
@@ -168,11 +170,9 @@ def parse_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
         _text('{"eventTime":" ', ms, '"}'),
     ]
     parsed = parse_sales_json(_json_variants(read_events(spark, sf_dir), shapes))
-    node = parsed.withColumn("node", fields.first_present(F.col("json"), C.EVENT_TIME_ALIASES))
     now = F.lit(_NO_TIME).cast("bigint")
-    return node.withColumn("kind", fields.node_kind(F.col("node"))).select(
-        "event_id",
-        times.event_time_of(F.col("node"), F.col("kind"), now).alias("event_time_ms"))
+    return parsed.select("event_id", times.parse_event_time(
+        F.col("json"), F.try_parse_json("value"), now).alias("event_time_ms"))
 
 
 @query
@@ -196,7 +196,8 @@ def lenient_double(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.element_at(F.array(*shapes), number.cast("int") + 1)
     parsed = parse_sales_json(events.select("event_id", text.alias("value")))
     return parsed.select(
-        "event_id", fields.lenient_double(F.col("json"), C.AMOUNT_ALIASES).alias("amount"))
+        "event_id", fields.lenient_double(
+            F.col("json"), F.try_parse_json("value"), C.AMOUNT_ALIASES).alias("amount"))
 
 
 @query
@@ -218,7 +219,8 @@ def alias_string(spark: SparkSession, sf_dir: str) -> DataFrame:
     ]
     parsed = parse_sales_json(_json_variants(read_events(spark, sf_dir), shapes))
     return parsed.select(
-        "event_id", fields.alias_string(F.col("json"), C.SALE_ID_ALIASES).alias("sale_id"))
+        "event_id", fields.alias_string(
+            F.col("json"), F.try_parse_json("value"), C.SALE_ID_ALIASES).alias("sale_id"))
 
 
 @query
@@ -343,8 +345,8 @@ def rankings_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rank all sales, then restate the windows with BR sales from those alone."""
     path = run_dir(spark, "rankings")
     sales = read_sales(spark, sf_dir)
-    write_rankings(ranking_rows(top_cities(sales), batch_id=0), path)
-    write_rankings(ranking_rows(top_cities(filter_country(sales)), batch_id=1), path)
+    replace_rankings(ranking_rows(top_cities(sales), batch_id=0), path)
+    replace_rankings(ranking_rows(top_cities(filter_country(sales)), batch_id=1), path)
     table = read_rankings(spark, path, schemas.CITY_RANKING)
     return with_window_text(table).select(*CITY_COLUMNS)
 
@@ -379,7 +381,7 @@ def salesman_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _written(spark: SparkSession, log: DataFrame, name: str, key_schema) -> DataFrame:
     path = run_dir(spark, name)
-    write_rankings(log, path, replace=False)
+    append_rankings(log, path)
     return read_rankings(spark, path, key_schema)
 
 

@@ -66,9 +66,10 @@ RELATIONAL_MARK = T.StructType([
 
 
 def ranking(key: str, with_country: bool = False) -> T.StructType:
-    """Result table of one ranking; `window_start` is its partition column."""
+    """Result table of one ranking; `window_date` is its partition column."""
     country = [T.StructField("country", T.StringType())] if with_country else []
     return T.StructType([
+        T.StructField("window_start", T.TimestampType()),
         T.StructField("window_end", T.TimestampType()),
         T.StructField(key, T.StringType()),
         *country,
@@ -77,7 +78,7 @@ def ranking(key: str, with_country: bool = False) -> T.StructType:
         T.StructField("rank", T.IntegerType()),
         T.StructField("updated_at", T.TimestampType()),
         T.StructField("batch_id", T.LongType()),
-        T.StructField("window_start", T.TimestampType()),
+        T.StructField("window_date", T.DateType()),
     ])
 
 

@@ -7,12 +7,14 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Result-relevant only. Sizing (shuffle partitions, memory, split size) belongs to the cluster.
+# Results depend on these, but for the last. Sizing (shuffle partitions, memory, split size) belongs to the cluster.
 REQUIRED_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     # A JSON object may repeat a key; the last one counts.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # HotSpot leaves methods beyond this size uncompiled; wider stages are split instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

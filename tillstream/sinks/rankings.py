@@ -1,40 +1,75 @@
-"""Ranking tables: parquet, one partition per window."""
+"""Ranking tables: parquet, partitioned by the date of the window.
+
+A window has few rows, so a partition per window would leave one tiny file and one folder to
+list for every window ever ranked. A partition per date keeps both small.
+"""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillstream.schemas import MONEY
 
+PARTITION = "window_date"
+
 
 def ranking_rows(ranked: DataFrame, updated_at: Column | None = None,
                  batch_id: int = 0) -> DataFrame:
     """Ranked totals in the column types of the result table, with their version."""
     names = [c for c in ("city", "salesman_name", "country") if c in ranked.columns]
     return ranked.select(
-        "window_end", *names,
+        "window_start", "window_end", *names,
         F.col("total_sales").cast(MONEY).alias("total_sales"),
         F.col("transaction_count").cast("bigint").alias("transaction_count"),
         F.col("rank").cast("int").alias("rank"),
         F.date_trunc("second", F.current_timestamp() if updated_at is None else updated_at)
         .alias("updated_at"),
         F.lit(batch_id).cast("bigint").alias("batch_id"),
-        "window_start",
+        F.to_date("window_start").alias(PARTITION),
     )
 
 
-def write_rankings(rows: DataFrame, path: str, *, replace: bool = True) -> None:
-    """Write ranking rows, partitioned by window.
+def append_rankings(rows: DataFrame, path: str) -> None:
+    """Append a version of some windows to a log, to be read through `latest_by_key`."""
+    # One file per date, not one per task and date.
+    rows.repartition(PARTITION).write.mode("append").partitionBy(PARTITION).parquet(path)
+
 
-    `replace` swaps the windows present in `rows` as a whole and leaves the others, so writing
-    the same rows again changes nothing. Without it rows are appended as a log of versions, to
-    be read through `latest_by_key`.
+def replace_rankings(rows: DataFrame, path: str) -> None:
+    """Swap in the windows present in `rows` as a whole; all other windows stay.
+
+    Writing the same rows again changes nothing. The dates of those windows are rewritten: a
+    date holds a few windows of a few rows, and only its partition is read for that. The dates
+    are all that passes through the driver.
     """
-    mode = "overwrite" if replace else "append"
-    (rows.write.mode(mode).option("partitionOverwriteMode", "dynamic")
-     .partitionBy("window_start").parquet(path))
+    rows = rows.persist()
+    try:
+        dates = [row[0] for row in rows.select(PARTITION).distinct().collect()]
+        if not dates:
+            return
+        kept = _existing(rows.sparkSession, path, rows.schema)
+        if kept is not None:
+            kept = kept.where(F.col(PARTITION).isin(dates)).join(
+                rows.select("window_start").distinct(), "window_start", "left_anti")
+            rows_out = rows.unionByName(kept)
+        else:
+            rows_out = rows
+        (rows_out.repartition(PARTITION).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION).parquet(path))
+    finally:
+        rows.unpersist()
+
+
+def _existing(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    try:
+        return read_rankings(spark, path, schema)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 def read_rankings(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

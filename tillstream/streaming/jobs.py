@@ -12,7 +12,7 @@ from tillstream import constants as C
 from tillstream.operators.aggregate import sales_by_window
 from tillstream.operators.normalize import filter_country, normalize_sales, unify_sources
 from tillstream.operators.rank import top_n_per_window
-from tillstream.sinks.rankings import ranking_rows, write_rankings
+from tillstream.sinks.rankings import ranking_rows, replace_rankings
 from tillstream.sinks.topic import stream_topic, unified_records
 
 
@@ -65,7 +65,7 @@ def _rank_and_write(key: str, path: str, country: str | None,
         ranked = top_n_per_window(totals, key, n)
         if country is not None:
             ranked = ranked.withColumn("country", F.lit(country))
-        write_rankings(ranking_rows(ranked, batch_id=batch_id), path)
+        replace_rankings(ranking_rows(ranked, batch_id=batch_id), path)
     return write
 
 
