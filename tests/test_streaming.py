@@ -143,8 +143,11 @@ def test_normalization_stream_unifies_and_skips_malformed(spark, tmp_path):
         (tmp_path / source / "a.txt").write_text("\n".join(lines) + "\n")
     topics = {s: read_topic(spark, str(tmp_path / s), fmt="text") for s in texts}
     out = str(tmp_path / "unified")
-    run_available(normalization_job(
+    query = run_available(normalization_job(
         topics, out, str(tmp_path / "cp"), fmt="text", now_ms=F.lit(5).cast("bigint")))
+    counted = [p["observedMetrics"] for p in query.recentProgress]
+    assert sum(metrics["quality_postgres"]["records"] for metrics in counted) == 1
+    assert sum(metrics["quality_files"]["zero_amount"] for metrics in counted) == 0
     lines = sorted(r.value for r in spark.read.text(out).collect())
     assert [json.loads(line)["source"] for line in lines] == ["postgres", "files", "legacy"]
     assert json.loads(lines[0]) == {

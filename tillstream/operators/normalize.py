@@ -61,12 +61,17 @@ def quarantine(records: DataFrame, value: str = "value") -> DataFrame:
 
 
 def normalize_sales(records: DataFrame, source: str | None = None, value: str = "value",
-                    now_ms: Column | None = None, with_flags: bool = False) -> DataFrame:
+                    now_ms: Column | None = None, with_flags: bool = False,
+                    quality: str | None = None) -> DataFrame:
     """Parse JSON text in `value` into unified sales events.
 
     `source` overrides the field of that name, as each topic has one source. `now_ms` is the
     processing time used for missing or unreadable event times and for the ingestion stamp.
     `with_flags` adds the data-quality flags `dq_counts` adds up.
+
+    The same counters are observed on the way, under the name `quality` (`quality_<source>` if
+    not given), and show up in the progress of a stream. That also keeps the planner from
+    copying the whole parse into filters on its results.
     """
     now = current_ms() if now_ms is None else now_ms
     fields = {
@@ -104,9 +109,10 @@ def normalize_sales(records: DataFrame, source: str | None = None, value: str =
         F.coalesce("parsed_ms", now).alias("event_time_ms"),
         "source",
         now.alias("ingestion_time_ms"),
-        *(_flags() if with_flags else []),
+        *_flags(),
     )
-    return events
+    observed = observe_dq(events, quality or f"quality_{source or 'any'}")
+    return observed if with_flags else observed.drop(*DQ_FLAGS)
 
 
 def _flags() -> list[Column]:
@@ -134,7 +140,7 @@ def dq_counts(flagged: DataFrame) -> DataFrame:
     return flagged.groupBy("source").agg(*_dq_aggregates())
 
 
-def observe_dq(flagged: DataFrame, name: str = "dq") -> DataFrame:
+def observe_dq(flagged: DataFrame, name: str) -> DataFrame:
     """Attach the same counters as an observation, to read them off a job or a stream's progress."""
     return flagged.observe(name, *_dq_aggregates())
 

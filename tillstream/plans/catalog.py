@@ -123,6 +123,21 @@ def unify_all_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select(*EVENT_COLUMNS)
 
 
+_PRODUCTS_OF_SOURCE = {
+    "postgres": ("signup", "click"), "files": ("view", "error"), "legacy": ("purchase",)}
+
+
+@query
+def top_cities_from_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From the raw records of three sources, each sale in one of them, to the city ranking."""
+    sales = read_sales(spark, sf_dir)
+    events = unify_sources(*[
+        normalize_sales(source_records(sales.where(F.col("product").isin(*products)), source),
+                        source)
+        for source, products in _PRODUCTS_OF_SOURCE.items()])
+    return with_window_text(top_cities(with_event_time(events))).select(*CITY_COLUMNS)
+
+
 @query
 def infer_epoch_ms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event times as seconds, milliseconds or microseconds, told apart by size alone."""
@@ -560,14 +575,13 @@ def stream_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three source topics, normalization stream, unified topic, ranking stream, table."""
     base = run_dir(spark, "stream-chain")
     sales = read_sales(spark, sf_dir)
-    product_of = {
-        "postgres": ("signup", "click"), "files": ("view", "error"), "legacy": ("purchase",)}
-    for source, products in product_of.items():
+    for source, products in _PRODUCTS_OF_SOURCE.items():
         write_topic(
             source_records(sales.where(F.col("product").isin(*products)), source),
             f"{base}/{source}", fmt="parquet")
     topics = {
-        source: read_topic(spark, f"{base}/{source}", fmt="parquet") for source in product_of}
+        source: read_topic(spark, f"{base}/{source}", fmt="parquet")
+        for source in _PRODUCTS_OF_SOURCE}
     run_available(normalization_job(
         topics, f"{base}/unified", f"{base}/normalization", fmt="text"))
     unified = with_event_time(read_unified(read_topic(spark, f"{base}/unified", fmt="text")))

@@ -253,6 +253,7 @@ def oracle_sql() -> dict[str, str]:
         "normalize_files": _FILES,
         "normalize_legacy": _LEGACY,
         "unify_all_sources": f"{_POSTGRES} UNION ALL {_FILES} UNION ALL {_LEGACY}",
+        "top_cities_from_records": f"SELECT {_CITY} FROM ({_ranked('city')})",
         "infer_epoch_ms": """
 SELECT event_id,
        CASE event_id % 3 WHEN 0 THEN epoch_us(ts) // 1000000 WHEN 1 THEN epoch_us(ts) // 1000
