@@ -58,19 +58,24 @@ def is_fractional(text: Column) -> Column:
 
 def string_needs_kind(text: Column) -> Column:
     """True where a JSON string and another value with this raw text give different strings."""
-    first = F.ascii(text)
-    return first.isin(*map(ord, "[{")) | (
-        (first.between(48, 57) | (first == ord("-"))) & (is_fractional(text) | (text == "-0")))
+    # `-`, `.`, `/` and the digits are what sorts from `-` up to, but not including, `:`.
+    maybe_number = (text >= "-") & (text < ":")
+    return (
+        text.startswith("{") | text.startswith("[")
+        | (maybe_number & (is_fractional(text) | (text == "-0")))
+    )
 
 
-def string_of(text: Column, kind: Column) -> Column:
+def string_of(text: Column, kind: Column, in_doubt: Column | None = None) -> Column:
     """Scalar as text; '' for objects, arrays and absent fields.
 
-    Numbers with a fraction or exponent print as doubles do: `1e3` as `1000.0`.
+    Numbers with a fraction or exponent print as doubles do: `1e3` as `1000.0`. `in_doubt`, if
+    the caller has it at hand, is true at least where `string_needs_kind` is.
     """
+    doubt = string_needs_kind(text) if in_doubt is None else in_doubt & string_needs_kind(text)
     return (
         F.when(text.isNull(), F.lit(""))
-        .when(~string_needs_kind(text), text)
+        .when(~doubt, text)
         .when(kind == "STRING", text)
         .when(text == "-0", F.lit("0"))
         .when(is_fractional(text),

@@ -95,7 +95,7 @@ def normalize_sales(records: DataFrame, source: str | None = None, value: str =
         return kind_of(F.col("typed"), fields[name])
 
     def string(name: str) -> Column:
-        return string_of(F.col(name), kind(name)).alias(name)
+        return string_of(F.col(name), kind(name), F.col("typed").isNotNull()).alias(name)
 
     values = typed.select(
         *[string(name) for name in _STRING_FIELDS],
