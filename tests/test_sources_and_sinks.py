@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tillstream import schemas
 from tillstream.operators.normalize import normalize_sales
+from tillstream.operators.serve import latest_by_key
 from tillstream.sinks.rankings import (
     append_rankings, ranking_rows, read_rankings, replace_rankings,
 )
@@ -171,6 +172,17 @@ def test_appended_versions_all_stay(spark, tmp_path):
     assert len(contents(spark, path)) == 2
 
 
+def test_appended_versions_fold_into_one_file(spark, tmp_path):
+    path = tmp_path / "t"
+    rows = ranking_rows(ranked(spark, [("2026-02-19 08:00:00", "A", 5, 1)]))
+    for _ in range(3):
+        append_rankings(rows, str(path))
+    table = read_rankings(spark, str(path), schemas.CITY_RANKING)
+    replace_rankings(latest_by_key(table), str(path))
+    assert contents(spark, str(path)) == [("08:00", "A", 1)]
+    assert len(list(path.glob("window_date=*/*.parquet"))) == 1
+
+
 def test_three_shapes_of_a_sale_give_one_event(spark):
     texts = [
         '{"id":7,"salesman":"Ann","city":"X","country":"BR","amount":1.50,"product":"P",'

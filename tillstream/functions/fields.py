@@ -72,15 +72,15 @@ def string_of(text: Column, kind: Column, in_doubt: Column | None = None) -> Col
     Numbers with a fraction or exponent print as doubles do: `1e3` as `1000.0`. `in_doubt`, if
     the caller has it at hand, is true at least where `string_needs_kind` is.
     """
-    doubt = string_needs_kind(text) if in_doubt is None else in_doubt & string_needs_kind(text)
+    fractional = is_fractional(text)
+    doubt = string_needs_kind(text)
     return (
-        F.when(text.isNull(), F.lit(""))
-        .when(~doubt, text)
+        F.when(text.isNull(), "")
+        .when(~doubt if in_doubt is None else ~(in_doubt & doubt), text)
         .when(kind == "STRING", text)
-        .when(text == "-0", F.lit("0"))
-        .when(is_fractional(text),
-              F.when(is_fractional(text), text).try_cast("double").cast("string"))
-        .otherwise(F.lit(""))
+        .when(text == "-0", "0")
+        .when(fractional, F.when(fractional, text).try_cast("double").cast("string"))
+        .otherwise("")
     )
 
 

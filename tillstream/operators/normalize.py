@@ -91,11 +91,14 @@ def normalize_sales(records: DataFrame, source: str | None = None, value: str =
             in_doubt = in_doubt | string_needs_kind(F.col(name))
     typed = raw.withColumn("typed", F.when(in_doubt, F.try_parse_json("record")))
 
+    variant = F.col("typed")
+    doubted = variant.isNotNull()
+
     def kind(name: str) -> Column:
-        return kind_of(F.col("typed"), fields[name])
+        return kind_of(variant, fields[name])
 
     def string(name: str) -> Column:
-        return string_of(F.col(name), kind(name), F.col("typed").isNotNull()).alias(name)
+        return string_of(F.col(name), kind(name), doubted).alias(name)
 
     values = typed.select(
         *[string(name) for name in _STRING_FIELDS],

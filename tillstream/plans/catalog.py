@@ -556,7 +556,7 @@ def stream_top_cities_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     sales = as_sales(stream_events(spark, sf_dir))
     run_available(ranking_job(sales, "city", f"{base}/table", f"{base}/checkpoint"))
     table = read_rankings(spark, f"{base}/table", schemas.CITY_RANKING)
-    return with_window_text(table).select(*CITY_COLUMNS)
+    return with_window_text(serve.latest_by_key(table)).select(*CITY_COLUMNS)
 
 
 @query
@@ -567,7 +567,7 @@ def stream_top_salesmen_hourly_br(spark: SparkSession, sf_dir: str) -> DataFrame
         sales, "salesman_name", f"{base}/table", f"{base}/checkpoint",
         country=C.RANKED_COUNTRY))
     table = read_rankings(spark, f"{base}/table", schemas.SALESMAN_RANKING)
-    return with_window_text(table).select(*SALESMAN_COLUMNS)
+    return with_window_text(serve.latest_by_key(table)).select(*SALESMAN_COLUMNS)
 
 
 @query
@@ -587,4 +587,4 @@ def stream_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     unified = with_event_time(read_unified(read_topic(spark, f"{base}/unified", fmt="text")))
     run_available(ranking_job(unified, "city", f"{base}/table", f"{base}/ranking"))
     table = read_rankings(spark, f"{base}/table", schemas.CITY_RANKING)
-    return with_window_text(table).select(*CITY_COLUMNS)
+    return with_window_text(serve.latest_by_key(table)).select(*CITY_COLUMNS)

@@ -18,6 +18,13 @@ REQUIRED_SETTINGS = {
 }
 
 
+# Can only be set when the session is made.
+STARTUP_SETTINGS = {
+    # Recording the Python call site of every column operation makes large plans slow to build.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings that results depend on to a session someone else made."""
     for key, value in REQUIRED_SETTINGS.items():
@@ -32,7 +39,7 @@ def build_session(app: str = "tillstream", master: str | None = None,
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**REQUIRED_SETTINGS, **(extra or {})}.items():
+    for key, value in {**REQUIRED_SETTINGS, **STARTUP_SETTINGS, **(extra or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

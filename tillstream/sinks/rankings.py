@@ -2,6 +2,10 @@
 
 A window has few rows, so a partition per window would leave one tiny file and one folder to
 list for every window ever ranked. A partition per date keeps both small.
+
+Streams append: nothing written is ever touched again, and versions are told apart on reading.
+Restated windows are swapped in by `replace_rankings`, which also folds the files of a date
+into one if it is given the `latest_by_key` rows of that date.
 """
 
 from __future__ import annotations
@@ -43,7 +47,8 @@ def replace_rankings(rows: DataFrame, path: str) -> None:
 
     Writing the same rows again changes nothing. The dates of those windows are rewritten: a
     date holds a few windows of a few rows, and only its partition is read for that. The dates
-    are all that passes through the driver.
+    are all that passes through the driver. The swap of a partition on commit is not atomic: do
+    not stop the driver in it, and let no other writer at the table.
     """
     rows = rows.persist()
     try:

@@ -12,7 +12,7 @@ from tillstream import constants as C
 from tillstream.operators.aggregate import sales_by_window
 from tillstream.operators.normalize import filter_country, normalize_sales, unify_sources
 from tillstream.operators.rank import top_n_per_window
-from tillstream.sinks.rankings import ranking_rows, replace_rankings
+from tillstream.sinks.rankings import append_rankings, ranking_rows
 from tillstream.sinks.topic import stream_topic, unified_records
 
 
@@ -42,31 +42,36 @@ def windowed_totals(sales: DataFrame, key: str, length: str = C.WINDOW_LENGTH,
     return sales_by_window(kept, key, length)
 
 
+RankingWriter = Callable[[DataFrame, str], None]
+
+
 def ranking_job(sales: DataFrame, key: str, path: str, checkpoint: str, *,
-                country: str | None = None, n: int = C.TOP_N,
-                length: str = C.WINDOW_LENGTH) -> DataStreamWriter:
+                country: str | None = None, n: int = C.TOP_N, length: str = C.WINDOW_LENGTH,
+                write: RankingWriter = append_rankings) -> DataStreamWriter:
     """Rank each window once it closes, into the ranking table at `path`.
 
     `sales` streams `event_time`, `amount` and the key. All totals of a window leave the
-    aggregation in one micro-batch, which ranks them and swaps the window in as a whole; a
-    micro-batch that runs twice writes the same window twice. Late rows never reach it.
+    aggregation in one micro-batch, which ranks them and writes them in one job. Late rows
+    never reach it. A micro-batch that runs twice appends a second version of its windows,
+    which reads through `latest_by_key` fold away; with `write=replace_rankings` the windows
+    are swapped in place instead.
     """
     totals = windowed_totals(sales, key, length, country=country)
     return (
         totals.writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(_rank_and_write(key, path, country, n))
+        .foreachBatch(_rank_and_write(key, path, country, n, write))
     )
 
 
-def _rank_and_write(key: str, path: str, country: str | None,
-                    n: int) -> Callable[[DataFrame, int], None]:
-    def write(totals: DataFrame, batch_id: int) -> None:
+def _rank_and_write(key: str, path: str, country: str | None, n: int,
+                    write: RankingWriter) -> Callable[[DataFrame, int], None]:
+    def rank_and_write(totals: DataFrame, batch_id: int) -> None:
         ranked = top_n_per_window(totals, key, n)
         if country is not None:
             ranked = ranked.withColumn("country", F.lit(country))
-        replace_rankings(ranking_rows(ranked, batch_id=batch_id), path)
-    return write
+        write(ranking_rows(ranked, batch_id=batch_id), path)
+    return rank_and_write
 
 
 def start_continuous(writer: DataStreamWriter,
