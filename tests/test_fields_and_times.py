@@ -151,10 +151,13 @@ def test_source_is_the_topic_or_the_field(spark):
 
 
 def test_unstorable_amounts_count_as_zero(spark):
-    texts = ['{"amount":"NaN"}', '{"amount":1e30}', '{"amount":0.295}']
+    texts = ['{"amount":"NaN"}', '{"amount":1e16}', '{"amount":0.295}',
+             '{"amount":-9999999999999998}']
     frame = spark.createDataFrame([(t,) for t in texts], "value string")
-    rows = with_event_time(normalize_sales(frame, "files")).select("amount").collect()
-    assert sorted(str(row.amount) for row in rows) == ["0.00", "0.00", "0.30"]
+    flagged = normalize_sales(frame, "files", with_flags=True)
+    rows = with_event_time(flagged).collect()
+    assert sorted((str(row.amount), row.unstorable_amount) for row in rows) == [
+        ("-9999999999999998.00", False), ("0.00", True), ("0.00", True), ("0.30", False)]
 
 
 @pytest.mark.parametrize("text, readable", [

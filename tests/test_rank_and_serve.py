@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tillstream.operators import serve
 from tillstream.operators.aggregate import merge_partials, sales_by_window
 from tillstream.operators.normalize import filter_country
-from tillstream.operators.rank import by_rank, clamp_limit, top_n_per_window
+from tillstream.operators.rank import by_rank, clamp_limit
 from tillstream.plans.batch import top_cities, top_salesmen
 
 

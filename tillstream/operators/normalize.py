@@ -85,7 +85,9 @@ def normalize_sales(records: DataFrame, source: str | None = None, value: str =
         *[first_present(F.col("json"), names).alias(name) for name, names in fields.items()])
     # Read as VARIANT only the records in which the JSON type of some value matters.
     raw = raw.withColumn("iso_ms", iso_to_ms(F.col("event_time_ms")))
-    in_doubt = time_needs_kind(F.col("event_time_ms"), F.col("iso_ms")) | double_needs_kind(F.col("amount"))
+    in_doubt = (
+        time_needs_kind(F.col("event_time_ms"), F.col("iso_ms"))
+        | double_needs_kind(F.col("amount")))
     for name in fields:
         if name not in ("amount", "event_time_ms"):
             in_doubt = in_doubt | string_needs_kind(F.col(name))
@@ -118,13 +120,17 @@ def normalize_sales(records: DataFrame, source: str | None = None, value: str =
     return observed if with_flags else observed.drop(*DQ_FLAGS)
 
 
+# Doubles from here on exceed the money type; the largest one below is a whole number within it.
+_MONEY_LIMIT = 1e16
+
+
 def _flags() -> list[Column]:
     amount = F.col("amount")
     return [
         (F.col("sale_id") == "").alias("empty_sale_id"),
         (amount == 0.0).alias("zero_amount"),
         F.col("parsed_ms").isNull().alias("time_fallback"),
-        amount.try_cast(MONEY).isNull().alias("unstorable_amount"),
+        (F.isnan(amount) | (F.abs(amount) >= _MONEY_LIMIT)).alias("unstorable_amount"),
     ]
 
 
