@@ -20,9 +20,9 @@ from tillstream.session import build_session  # noqa: E402
 
 HEADLINE = (
     "top_cities_hourly", "top_salesmen_hourly_br", "sales_by_city_window", "sales_window_15m",
-    "normalize_postgres", "normalize_files", "normalize_legacy", "unify_all_sources",
+    "normalize_postgres", "normalize_files", "normalize_legacy",
     "scan_since_mark", "csv_roundtrip", "csv_by_name_roundtrip", "legacy_xml_roundtrip",
-    "topic_roundtrip", "rankings_replace", "latest_versions", "latest_rankings_city",
+    "rankings_replace", "latest_versions",
     "rankings_for_window_salesman", "city_response",
     "counter_rate_5m", "counter_rate_6h", "histogram_quantile", "sustained_breaches",
     "latest_gauge", "stream_top_cities_hourly", "stream_end_to_end",
@@ -32,7 +32,7 @@ HEADLINE = (
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     chosen = os.environ.get("BENCH_QUERIES")
     names = chosen.split(",") if chosen else HEADLINE
     spark = build_session("bench", f"local[{cpus}]", {
