@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -45,18 +44,14 @@ def build_session(app: str = "tillstream", master: str | None = None,
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach: `spark.checkpoint.dir` of the session.
+    """Folder every executor can reach: `spark.checkpoint.dir`, else one below the warehouse.
 
-    Only a local session without that setting gets a temporary folder of its own.
+    The session's settings stay as they are.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    made = tempfile.mkdtemp(prefix="tillstream-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
 
 
 def run_dir(spark: SparkSession, name: str) -> str:
