@@ -5,12 +5,15 @@ import pytest
 
 import __spark_entry__ as contract
 
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
+from tillstream.plans import catalog, oracles
+
+QUERIES = catalog.queries()
+ORACLES = oracles.oracle_sql()
 
 
 def test_every_query_has_a_twin():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
