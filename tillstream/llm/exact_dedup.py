@@ -5,8 +5,8 @@
    Rice-coded message.
 2. An owner decodes its messages, finds the fingerprints that came from more than one block, and
    answers each block with a bitmap over its own sorted fingerprints.
-3. Documents whose bit is set, or whose block had the fingerprint twice, are suspects. Only their
-   texts are shuffled, partly aggregated before, and compared byte by byte.
+3. Documents whose bit is set, or whose block had the fingerprint twice, are suspects. Their texts
+   are fetched by key, partly aggregated, shuffled by their bytes and compared byte by byte.
 
 Texts are equal when identical after deleting ASCII white space. Of equal texts the one with most
 code points stays, then the smallest doc_id.

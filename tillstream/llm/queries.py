@@ -6,11 +6,54 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillstream.llm import exact_dedup, near_dedup, packing
-from tillstream.llm.common import read
+from tillstream.llm import (
+    bpe,
+    chat,
+    exact_dedup,
+    fingerprints,
+    near_dedup,
+    packing,
+    quality,
+    shards,
+    substrings,
+    tokens,
+)
+from tillstream.llm.common import read, stored
+from tillstream.llm.oracles import oracle_sql
+
+__all__ = ["oracle_sql", "queries"]
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+# <|endoftext|> of the word vocabulary.
+END_OF_DOCUMENT = 49407
+SHARDS = 16
+
+
+def op1_longest_first_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.place(read(spark, sf_dir, "documents"), SHARDS).withColumns({
+        "law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
+
+
+def op2_separator_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written as flat token files; the scan finds them again and counts their tokens."""
+    files = stored(tokens.write_blocks(read(spark, sf_dir, "documents"), WORD_BPE,
+                                       END_OF_DOCUMENT), "token-files")
+    found = stored(tokens.search(files, END_OF_DOCUMENT), "separators")
+    named = files.select("file", "block", F.posexplode("doc_ids").alias("place", "doc_id"))
+    return (tokens.count_tokens(found).join(named, ["file", "block", "place"], "left")
+            .select("doc_id", "file", "ordinal", "start", "n_tokens", "ended"))
+
+
+def op3_simhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_with_edits(read(spark, sf_dir, "documents"))
+
+
+def op4_super_kmer_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def op5_pack_binary_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,14 +65,47 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.components(read(spark, sf_dir, "documents")).drop("text_key")
 
 
+def op7_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents")
+    model = quality.fit(documents, read(spark, sf_dir, "labels"))
+    return quality.score(documents, model)
+
+
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.range(2).select(
+        F.lit(-1).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(said).alias("text"))
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    out = chat.format_conversations(turns.unionByName(extra))
+    back, spans = chat.read_turns(F.col("formatted")), chat.loss_spans(F.col("formatted"))
+    out = out.select("conv_id", "formatted", back.alias("turns"),
+                     chat.loss_text(F.col("formatted"), spans).alias("loss"))
+    said_all = F.array_join(F.transform("turns", lambda t: F.concat(
+        t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return out.select(
+        "conv_id", F.size("turns").cast("bigint").alias("n_turns"),
+        F.sha2(said_all, 256).alias("turns_sha256"),
+        F.char_length("loss").cast("bigint").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("bigint").alias("formatted_chars"))
+
+
 def op9_golomb_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(read(spark, sf_dir, "documents")).drop("text_key")
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (
-        op5_pack_binary_lengths, op6_simhash_near_dedup, op9_golomb_exact_dedup)}
+def op10_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.decode(bpe.encode(read(spark, sf_dir, "documents"), BYTE_BPE), BYTE_BPE)
+    return coded.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-def oracle_sql() -> dict[str, str]:
-    return {}
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {f.__name__: f for f in (
+        op1_longest_first_shards, op2_separator_token_counts, op3_simhash_fingerprints,
+        op4_super_kmer_substrings, op5_pack_binary_lengths, op6_simhash_near_dedup,
+        op7_pairwise_quality, op8_chat_formatting, op9_golomb_exact_dedup, op10_trie_bpe)}
