@@ -125,10 +125,14 @@ def test_labels_match_as_a_whole(spark):
     assert sorted(r.status for r in either) == ["200", "500"]
 
 
-def test_latest_gauge_is_a_hash_aggregate(spark, plan_of):
-    frame = spark.createDataFrame(random_samples(1), SCHEMA)
-    newest = metrics.latest_gauge(frame, "series")
-    plan = plan_of(newest)
-    assert "SortAggregate" not in plan and "partial_max_by" in plan
+def test_latest_gauge_breaks_ties(spark, plan_of):
+    samples = random_samples(1)
+    frame = spark.createDataFrame(samples, SCHEMA)
+    newest = metrics.latest_gauge(frame, "series", seq="seq")
+    assert "partial_max" in plan_of(newest)
     for row in newest.collect():
-        assert row.ts.replace(tzinfo=None) == by_series(random_samples(1))[row.series][-1][2]
+        last = by_series(samples)[row.series][-1]
+        assert (row.ts.replace(tzinfo=None), row.value) == (last[2], last[3])
+    turned = spark.createDataFrame(samples[::-1], SCHEMA).coalesce(1)
+    assert set(metrics.latest_gauge(turned, "series").collect()) == set(
+        metrics.latest_gauge(frame, "series").collect())

@@ -60,16 +60,11 @@ def test_top_salesmen_of_one_country_in_any_case(spark):
     assert {r.country for r in ranked.select("country").distinct().collect()} == {"BR"}
 
 
-def test_top_beyond_the_group_limit_is_salted_and_the_same(spark):
+def test_salted_top_is_the_same(spark):
     rows = random_sales(5)
-    before = spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")
-    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "2")
-    try:
-        ranked = top_cities(sales(spark, rows), 7)
-        assert got_top(ranked, "city") == brute_top(rows, 1, 7)
-        assert "salted_rank" not in ranked.columns
-    finally:
-        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", before)
+    ranked = top_cities(sales(spark, rows), 7, salts=16)
+    assert got_top(ranked, "city") == brute_top(rows, 1, 7)
+    assert "salted_rank" not in ranked.columns
 
 
 def test_ties_go_to_the_smaller_key(spark):
@@ -160,8 +155,33 @@ def test_limit_is_clamped(limit, expected):
 
 
 def test_limit_cuts_by_rank(spark):
-    rows = by_rank(serve.rankings(log(spark, LOG), "2026-02-19T08:00:00Z"), 0).collect()
+    rows = serve.rankings(log(spark, LOG), "2026-02-19T08:00:00Z", limit=0).collect()
     assert [r.city for r in rows] == ["D"]
+    assert by_rank(spark.range(300).withColumnRenamed("id", "rank"), 250).count() == 250
+
+
+def test_large_totals_stop_nothing(spark):
+    rows = [("m", "A", "BR", 9e15, "2026-02-19 08:00:00")] * 2
+    ranked = top_cities(sales(spark, rows)).collect()
+    assert [(str(r.total_sales), r.rank) for r in ranked] == [("18000000000000000.00", 1)]
+
+
+@pytest.mark.parametrize("country", [None, "BR", "AR", "XX"])
+def test_latest_window_reads_one_date(spark, tmp_path, plan_of, country):
+    from tillstream import schemas
+    from tillstream.sinks.rankings import append_rankings, ranking_rows, read_rankings
+    rows = log(spark, [
+        (f"2026-02-{day:02} 08:00:00", f"{c}{day}", c, day, rank, "2026-03-01 00:00:00", 1)
+        for day in range(1, 20) for rank, c in enumerate(["BR", "AR"] if day < 15 else ["BR"], 1)],
+        with_country=True)
+    append_rankings(ranking_rows(rows), str(tmp_path / "t"))
+    table = read_rankings(spark, str(tmp_path / "t"), schemas.SALESMAN_RANKING)
+    found = serve.latest_rankings(table, country)
+    assert "PartitionFilters: [isnotnull(window_date" in plan_of(found) or country == "XX"
+    want = {None: ["BR19"], "BR": ["BR19"], "AR": ["AR14"], "XX": []}
+    assert [r.salesman_name for r in found.collect()] == want[country]
+    plain = serve.latest_rankings(table.drop("window_date"), country)
+    assert [r.salesman_name for r in plain.collect()] == want[country]
 
 
 def test_responses(spark):

@@ -5,13 +5,13 @@ from pyspark.sql import functions as F
 
 from tillstream import schemas
 from tillstream.operators.normalize import normalize_sales
-from tillstream.operators.serve import latest_by_key
+from tillstream.operators.serve import latest_by_key, latest_windows
 from tillstream.sinks.rankings import (
-    append_rankings, ranking_rows, read_rankings, replace_rankings,
+    append_rankings, compact_rankings, ranking_rows, read_rankings, replace_rankings,
 )
 from tillstream.sinks.topic import to_topic_records, write_topic
 from tillstream.sources.csv_sales import read_csv_sales, read_csv_sales_by_name
-from tillstream.sources.legacy import read_legacy_sales
+from tillstream.sources.legacy import poll_legacy, read_legacy_sales
 from tillstream.sources.relational import load_mark, poll, save_mark, scan_since
 from tillstream.sources.topic import read_topic
 from tillstream.streaming.jobs import run_available
@@ -92,15 +92,24 @@ def test_pages_and_marks(spark, tmp_path, plan_of):
     table = spark.read.parquet(str(tmp_path / "table"))
     marks, topic = str(tmp_path / "marks"), str(tmp_path / "topic")
 
+    sent = []
+
     def send(rows):
+        sent.append(rows.count())
         write_topic(to_topic_records(rows), topic, fmt="parquet")
 
     assert load_mark(spark, marks) == 0
-    assert [poll(spark, table, marks, send, page=10) for _ in range(4)] == [10, 20, 25, 25]
+    assert load_mark(spark, marks, default=-1) == -1
+    assert [poll(spark, table, marks, send, page=10) for _ in range(2)] == [25, 25]
+    assert sent == [10, 10, 5]
     keys = [row.key for row in spark.read.parquet(topic).collect()]
     assert sorted(map(int, keys)) == list(range(1, 26))
     save_mark(spark, marks, 7, "other")
     assert (load_mark(spark, marks), load_mark(spark, marks, "other")) == (25, 7)
+    save_mark(spark, marks, 3, "other")
+    assert load_mark(spark, marks, "other") == 3
+    assert len(list((tmp_path / "marks" / "producer_id=relational").iterdir())) == 2
+    assert scan_since(table, 5).count() == 20
     plan = plan_of(scan_since(table, 5, page=10))
     assert "GreaterThan(id,5)" in plan and "TakeOrderedAndProject" in plan
 
@@ -144,7 +153,7 @@ def ranked(spark, rows):
 
 
 def contents(spark, path):
-    table = read_rankings(spark, path, schemas.CITY_RANKING)
+    table = latest_windows(read_rankings(spark, path, schemas.CITY_RANKING))
     return sorted((str(r.window_start)[11:16], r.city, r.rank) for r in table.collect())
 
 
@@ -169,7 +178,7 @@ def test_appended_versions_all_stay(spark, tmp_path):
     rows = ranking_rows(ranked(spark, [("2026-02-19 08:00:00", "A", 5, 1)]))
     append_rankings(rows, path)
     append_rankings(rows, path)
-    assert len(contents(spark, path)) == 2
+    assert read_rankings(spark, path, schemas.CITY_RANKING).count() == 2
 
 
 def test_appended_versions_fold_into_one_file(spark, tmp_path):
@@ -178,9 +187,43 @@ def test_appended_versions_fold_into_one_file(spark, tmp_path):
     for _ in range(3):
         append_rankings(rows, str(path))
     table = read_rankings(spark, str(path), schemas.CITY_RANKING)
-    replace_rankings(latest_by_key(table), str(path))
-    assert contents(spark, str(path)) == [("08:00", "A", 1)]
-    assert len(list(path.glob("window_date=*/*.parquet"))) == 1
+    compact_rankings(latest_by_key(table), str(tmp_path / "folded"))
+    assert contents(spark, str(tmp_path / "folded")) == [("08:00", "A", 1)]
+    assert len(list((tmp_path / "folded").glob("window_date=*/*.parquet"))) == 1
+
+
+def test_a_restated_window_with_fewer_rows_leaves_no_old_rank(spark, tmp_path):
+    path = str(tmp_path / "t")
+    append_rankings(ranking_rows(ranked(spark, [
+        ("2026-02-19 08:00:00", "A", 5, 1), ("2026-02-19 08:00:00", "B", 4, 2)]), batch_id=9), path)
+    replace_rankings(ranking_rows(ranked(spark, [("2026-02-19 08:00:00", "B", 9, 1)])), path)
+    assert contents(spark, path) == [("08:00", "B", 1)]
+    by_key = latest_by_key(read_rankings(spark, path, schemas.CITY_RANKING))
+    assert sorted((r.city, r.rank) for r in by_key.collect()) == [("B", 1), ("B", 2)]
+
+
+def test_legacy_poll(spark, tmp_path):
+    sale = ("<sales><saleId>{0}</saleId><salesmanName>Ann</salesmanName><city>X</city>"
+            "<country>BR</country><amount>1.5</amount><product>P</product>"
+            "<saleDate>{1}</saleDate></sales>")
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "r.xml").write_text("<response>" + "".join(
+        sale.format(f"L{i}", 1_000_000 * i) for i in range(1, 4)) + "</response>")
+    folder, marks, sent = str(tmp_path / "in"), str(tmp_path / "marks"), []
+
+    def send(rows):
+        sent.append(sorted(r.saleId for r in rows.collect()))
+
+    def fail(rows):
+        raise RuntimeError("broker down")
+
+    with pytest.raises(RuntimeError):
+        poll_legacy(spark, folder, marks, fail, 2_200_000)
+    assert load_mark(spark, marks, "legacy", -1) == -1
+    assert poll_legacy(spark, folder, marks, send, 2_200_000) == 2_200_000
+    assert poll_legacy(spark, folder, marks, send, 3_000_001) == 3_000_001
+    assert poll_legacy(spark, folder, marks, send, 9_000_000) == 3_000_001
+    assert sent == [["L2", "L3"], ["L3"]]
 
 
 def test_three_shapes_of_a_sale_give_one_event(spark):

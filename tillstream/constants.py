@@ -17,13 +17,10 @@ MILLIS_ABOVE = 1_000_000_000_000
 
 # --- Fixed values: sources and topics --------------------------------------------
 SOURCES = ("postgres", "files", "legacy")
-SOURCE_TOPICS = {
-    "postgres": "sales.postgres",
-    "files": "sales.files",
-    "legacy": "sales.legacy",
-}
-UNIFIED_TOPIC = "sales.unified"
-RELATIONAL_PRODUCER = "pg-producer"
+RELATIONAL_PRODUCER = "relational"
+LEGACY_PRODUCER = "legacy"
+# A legacy producer without a mark starts this far back.
+LEGACY_LOOKBACK_MS = 5 * 60 * 1000
 
 # --- Fixed values: column order of the source and result tables ------------------
 RELATIONAL_COLUMNS = (
@@ -55,4 +52,5 @@ LAG_RULE = (10_000, 300)
 CHECKPOINT_MS_RULE = (60_000, 180)
 LATENCY_P95_RULE = (2, 300)
 LATENCY_QUANTILE = 0.95
+LATENCY_RATE_SECONDS = 300
 ERROR_STATUS_PATTERN = "5.."

@@ -108,13 +108,3 @@ def text_to_double(text: Column) -> Column:
         .when(number.isNull() | (text.rlike(_SPECIAL) & ~text.rlike(_SPECIAL_EXACT)), F.lit(0.0))
         .otherwise(F.coalesce(number, F.lit(0.0)))
     )
-
-
-def alias_string(json: Column, variant: Column, names: Sequence[str]) -> Column:
-    """`string_of` for the first alias present, from the parsed fields and the record's VARIANT."""
-    return string_of(first_present(json, names), kind_of(variant, names))
-
-
-def lenient_double(json: Column, variant: Column, names: Sequence[str]) -> Column:
-    """`double_of` for the first alias present."""
-    return double_of(first_present(json, names), kind_of(variant, names))

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tillstream import constants as C
-from tillstream.functions.fields import first_present, is_fractional, kind_of
+from tillstream.functions.fields import is_fractional
 
 # Accepted time texts. The guards matter: a plain cast to timestamp would also take a blank
 # instead of `T`, a bare date, or surrounding spaces. Seconds may be missing only where a
@@ -46,18 +44,6 @@ def _integer(text: Column) -> Column:
     return F.when(text.rlike(_INTEGER), text).try_cast("bigint")
 
 
-# A failing cast costs an exception, and the planner may move a cast out of the branch that
-# guards it. So what does not have the right form is made NULL before the cast.
-
-def iso_to_ms(text: Column) -> Column:
-    """ISO instant, or ISO local time as UTC, in ms; NULL for any other text."""
-    return F.unix_millis(F.try_to_timestamp(F.when(text.rlike(_ISO), F.upper(text))))
-
-
-def _integer(text: Column) -> Column:
-    return F.when(text.rlike(_INTEGER), text).try_cast("bigint")
-
-
 def text_to_ms(text: Column) -> Column:
     """Integer text as ms (no unit inference), ISO instant, or ISO local time as UTC; else NULL."""
     return (
@@ -102,17 +88,6 @@ def event_time_or_null(text: Column, kind: Column, iso_ms: Column) -> Column:
     )
 
 
-def event_time_of(text: Column, kind: Column, now_ms: Column) -> Column:
-    """`event_time_or_null`, with `now_ms` in place of NULL."""
-    return F.coalesce(event_time_or_null(text, kind, iso_to_ms(text)), now_ms)
-
-
-def parse_event_time(json: Column, variant: Column, now_ms: Column,
-                     names: Sequence[str] = C.EVENT_TIME_ALIASES) -> Column:
-    """`event_time_of` for the first alias present."""
-    return event_time_of(first_present(json, names), kind_of(variant, names), now_ms)
-
-
 def event_timestamp(ms: Column) -> Column:
     """TIMESTAMP of an epoch in ms; NULL beyond the range of the type."""
     return F.when(ms.between(-_MAX_MS, _MAX_MS), F.timestamp_millis(ms))

@@ -6,12 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstream import constants as C
-from tillstream.schemas import MONEY
+from tillstream.schemas import TOTAL
 
 
 def _totals(amount: Column, count: Column) -> list[Column]:
     return [
-        F.sum(amount).cast(MONEY).alias("total_sales"),
+        F.sum(amount).cast(TOTAL).alias("total_sales"),
         count.cast("bigint").alias("transaction_count"),
     ]
 

@@ -1,9 +1,9 @@
 """Operators on metric samples `(series, ts, value)`.
 
-One series may hold any share of all samples, so nothing here windows over a whole series.
+One series may hold any share of all samples, so no operator sorts the samples of a whole series.
 Samples are grouped by series and a slice of time; what crosses slices is handled by copying
-samples into the next slice (`counter_rate`) or by merging per-slice summaries
-(`sustained_breaches`). Samples of one series are ordered by `ts`, then by `seq` if given.
+samples into the next slice (`counter_rate`) or by merging per-slice summaries, at most two rows
+an hour of a series (`sustained_breaches`). Samples of one series are ordered by `ts`, then by `seq` if given.
 """
 
 from __future__ import annotations
@@ -208,13 +208,13 @@ def sustained_breaches(samples: DataFrame, series: Sequence[str] | str, bound: f
 
 
 def latest_gauge(samples: DataFrame, series: Sequence[str] | str, ts: str = "ts",
-                 value: str = "value") -> DataFrame:
-    """Newest value per series. A series has one sample per time; among several, any may be taken.
-
-    Time and value have fixed width, so this is a hash aggregate with map-side partials.
-    """
-    return samples.groupBy(*_columns(series)).agg(
-        F.max(ts).alias("ts"), F.max_by(value, ts).alias("value"))
+                 value: str = "value", seq: str | None = None) -> DataFrame:
+    """Newest value per series; among samples of one time that of the highest `seq`, else of the
+    largest value. Partly aggregated before the shuffle: one row per series and map task."""
+    newest = samples.groupBy(*_columns(series)).agg(
+        F.max(F.struct(F.col(ts).alias("ts"), F.col(seq or value).alias("tie"),
+                       F.col(value).alias("value"))).alias("newest"))
+    return newest.select(*_columns(series), "newest.ts", "newest.value")
 
 
 def matching_series(samples: DataFrame, label: str, pattern: str) -> DataFrame:

@@ -1,12 +1,17 @@
 """Raw JSON records of any source to unified sales events.
 
-Everything here is a narrow projection: no shuffle, batch or streaming alike.
+Everything here is a narrow projection: no shuffle, batch or streaming alike. What can't be used
+is never dropped without a trace: `quarantine`, `quarantine_unified` and `unplaceable_times` give
+exactly the rows that `normalize_sales`, `read_unified` and `with_event_time` leave out.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillstream import constants as C
 from tillstream.functions.fields import (
@@ -37,41 +42,48 @@ _ALL_NAMES = tuple(dict.fromkeys(
     for name in names))
 
 
+_ABSENT = "absent_text"
+
+
 def _with_json(records: DataFrame, value: str) -> DataFrame:
-    # Exploding an array of one keeps the parse apart from the filter on its result; as a
-    # plain column it would be copied into the filter and run twice.
-    parsed = F.array(parse_fields(F.col(value), _ALL_NAMES))
-    return records.select("*", F.explode(parsed).alias("json"))
+    # Exploding an array of one keeps the parse, and whatever made the text, apart from the filter
+    # on the results; as plain columns they would be copied into the filter and run twice.
+    parsed = F.array(F.struct(parse_fields(F.col(value), _ALL_NAMES).alias("fields"),
+                              F.col(value).isNull().alias("absent")))
+    found = records.select("*", F.explode(parsed).alias("json"))
+    return found.select(*records.columns, F.col("json.fields").alias("json"),
+                        F.col("json.absent").alias(_ABSENT))
 
 
-def _readable(value: Column) -> Column:
+def _readable() -> Column:
     """True for JSON of any kind, and for blank text, an empty record with all defaults."""
     text = F.col(f"json.{MALFORMED}")
-    return value.isNotNull() & (text.isNull() | F.try_parse_json(text).isNotNull())
+    return ~F.col(_ABSENT) & (text.isNull() | F.try_parse_json(text).isNotNull())
 
 
 def parse_sales_json(records: DataFrame, value: str = "value") -> DataFrame:
     """Keep the readable records and add their parsed fields as `json`."""
-    return _with_json(records, value).where(_readable(F.col(value)))
+    return _with_json(records, value).where(_readable()).drop(_ABSENT)
 
 
 def quarantine(records: DataFrame, value: str = "value") -> DataFrame:
     """The records that `parse_sales_json` leaves out: malformed JSON and NULL values."""
-    return _with_json(records, value).where(~_readable(F.col(value))).drop("json")
+    return _with_json(records, value).where(~_readable()).drop("json", _ABSENT)
 
 
 def normalize_sales(records: DataFrame, source: str | None = None, value: str = "value",
                     now_ms: Column | None = None, with_flags: bool = False,
-                    quality: str | None = None) -> DataFrame:
+                    quality: str | None = None, carry: Sequence[str] = ()) -> DataFrame:
     """Parse JSON text in `value` into unified sales events.
 
     `source` overrides the field of that name, as each topic has one source. `now_ms` is the
     processing time used for missing or unreadable event times and for the ingestion stamp.
-    `with_flags` adds the data-quality flags `dq_counts` adds up.
+    `with_flags` adds the data-quality flags `dq_counts` adds up. `carry` names columns of the
+    input that stay.
 
-    The same counters are observed on the way, under the name `quality` (`quality_<source>` if
-    not given), and show up in the progress of a stream. That also keeps the planner from
-    copying the whole parse into filters on its results.
+    With a name in `quality`, the same counters are observed on the way, with the number of
+    malformed records that are left out; they show up in the progress of a stream. Two inputs in
+    one plan need two names.
     """
     now = current_ms() if now_ms is None else now_ms
     fields = {
@@ -80,8 +92,13 @@ def normalize_sales(records: DataFrame, source: str | None = None, value: str =
         "amount": C.AMOUNT_ALIASES,
         "event_time_ms": C.EVENT_TIME_ALIASES,
     }
-    raw = parse_sales_json(records, value).select(
-        F.col(value).alias("record"),
+    parsed = _with_json(records, value)
+    readable = _readable()
+    if quality:
+        parsed = parsed.observe(f"{quality}_read", F.count(F.lit(1)).alias("read"),
+                                F.count_if(~readable).alias("malformed"))
+    raw = parsed.where(readable).select(
+        *carry, F.col(value).alias("record"),
         *[first_present(F.col("json"), names).alias(name) for name, names in fields.items()])
     # Read as VARIANT only the records in which the JSON type of some value matters.
     raw = raw.withColumn("iso_ms", iso_to_ms(F.col("event_time_ms")))
@@ -102,22 +119,24 @@ def normalize_sales(records: DataFrame, source: str | None = None, value: str =
     def string(name: str) -> Column:
         return string_of(F.col(name), kind(name), doubted).alias(name)
 
-    values = typed.select(
+    # As in `_with_json`: a filter on the events would otherwise take in the whole of this.
+    values = typed.select(*carry, F.inline(F.array(F.struct(
         *[string(name) for name in _STRING_FIELDS],
         double_of(F.col("amount"), kind("amount")).alias("amount"),
         event_time_or_null(F.col("event_time_ms"), kind("event_time_ms"), F.col("iso_ms"))
         .alias("parsed_ms"),
         (string("source") if source is None else F.lit(source)).alias("source"),
-    )
+    ))))
     events = values.select(
-        "sale_id", "salesman_name", "city", "country", "amount", "product",
+        *carry, "sale_id", "salesman_name", "city", "country", "amount", "product",
         F.coalesce("parsed_ms", now).alias("event_time_ms"),
         "source",
         now.alias("ingestion_time_ms"),
         *_flags(),
     )
-    observed = observe_dq(events, quality or f"quality_{source or 'any'}")
-    return observed if with_flags else observed.drop(*DQ_FLAGS)
+    if quality:
+        events = observe_dq(events, quality)
+    return events if with_flags else events.drop(*DQ_FLAGS)
 
 
 # Doubles from here on exceed the money type; the largest one below is a whole number within it.
@@ -154,14 +173,6 @@ def observe_dq(flagged: DataFrame, name: str) -> DataFrame:
     return flagged.observe(name, *_dq_aggregates())
 
 
-def tag_source(df: DataFrame, source: str) -> DataFrame:
-    return df.withColumn("source", F.lit(source))
-
-
-def with_ingestion_time(df: DataFrame, now_ms: Column | None = None) -> DataFrame:
-    return df.withColumn("ingestion_time_ms", current_ms() if now_ms is None else now_ms)
-
-
 def unify_sources(*events: DataFrame) -> DataFrame:
     """All rows of all sources, duplicates included."""
     unified, *rest = [df.select(*_EVENT_COLUMNS) for df in events]
@@ -174,20 +185,57 @@ def with_event_time(events: DataFrame) -> DataFrame:
     """Add the TIMESTAMP `event_time`, and `amount` as money.
 
     Amounts the money type cannot hold (NaN, infinite, too large) count as 0.00, so that the
-    row still counts as a transaction.
+    row still counts as a transaction. A time that TIMESTAMP cannot hold has no window;
+    `unplaceable_times` gives those rows.
     """
     return (
         events
+        .where(_placeable())
         .withColumn("event_time", event_timestamp(F.col("event_time_ms")))
         .withColumn("amount", F.coalesce(
             F.col("amount").try_cast(MONEY), F.lit(0).cast(MONEY)))
     )
 
 
-def read_unified(records: DataFrame, value: str = "value") -> DataFrame:
-    """Strict read of the unified topic: fixed names and types, no second unit inference."""
-    record = F.from_json(F.col(value), UNIFIED_RECORD)
-    return records.select(record.alias("r")).select(
+def _placeable() -> Column:
+    return F.coalesce(event_timestamp(F.col("event_time_ms")).isNotNull(), F.lit(False))
+
+
+def unplaceable_times(events: DataFrame) -> DataFrame:
+    """The events that `with_event_time` leaves out: no time, or one beyond TIMESTAMP."""
+    return events.where(~_placeable())
+
+
+_UNREAD = "unread"
+_UNIFIED_OR_TEXT = T.StructType([*UNIFIED_RECORD.fields, T.StructField(_UNREAD, T.StringType())])
+
+
+def _with_unified(records: DataFrame, value: str) -> DataFrame:
+    # As in `_with_json`, so that the record is parsed once.
+    record = F.from_json(F.col(value), _UNIFIED_OR_TEXT, {"columnNameOfCorruptRecord": _UNREAD})
+    return records.select("*", F.explode(F.array(record)).alias("r"))
+
+
+def _unified_readable() -> Column:
+    return F.col("r").isNotNull() & F.col(f"r.{_UNREAD}").isNull() & F.col("r.eventTime").isNotNull()
+
+
+def quarantine_unified(records: DataFrame, value: str = "value") -> DataFrame:
+    """The records that `read_unified` leaves out: malformed, of other types, or without a time."""
+    return _with_unified(records, value).where(~_unified_readable()).drop("r")
+
+
+def read_unified(records: DataFrame, value: str = "value",
+                 quality: str | None = None) -> DataFrame:
+    """Strict read of the unified topic: fixed names and types, no second unit inference.
+
+    With a name in `quality`, records read and unreadable ones are counted under it.
+    """
+    parsed = _with_unified(records, value)
+    if quality:
+        parsed = parsed.observe(quality, F.count(F.lit(1)).alias("read"),
+                                F.count_if(~_unified_readable()).alias("unreadable"))
+    return parsed.where(_unified_readable()).select(
         F.col("r.saleId").alias("sale_id"),
         F.col("r.salesmanName").alias("salesman_name"),
         "r.city", "r.country", "r.amount", "r.product",

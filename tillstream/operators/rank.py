@@ -2,27 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillstream import constants as C
 
-_GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
-_SALTS = 64
-
-
-def top_n_per_window(totals: DataFrame, key: str, n: int = C.TOP_N) -> DataFrame:
+def top_n_per_window(totals: DataFrame, key: str, n: int = C.TOP_N,
+                     salts: int = 1) -> DataFrame:
     """Rank keys by total within each window, keep ranks 1..n; ties go to the smaller key.
 
-    For usual n the planner cuts every map partition to its own n best rows per window before
-    the shuffle, so a window with millions of keys costs its reducer only n rows per map task.
-    Beyond the planner's limit for that, the same cut is made here on salted groups; it loses
-    nothing, since a row among the n best of a window is among the n best of its salt.
+    For n up to `spark.sql.optimizer.windowGroupLimitThreshold` the planner cuts every map
+    partition to its own n best rows per window before the shuffle, so a window with millions of
+    keys costs its reducer only n rows per map task. For larger n, `salts` deals a window's keys
+    to so many tasks first, each of which keeps its n best; nothing is lost, since a row among the n
+    best of a window is among the n best of its salt.
     """
     order = [F.desc("total_sales"), F.asc(key)]
-    if n > int(SparkSession.active().conf.get(_GROUP_LIMIT, "1000")):
-        salt = F.pmod(F.xxhash64(key), F.lit(_SALTS))
-        salted = Window.partitionBy("window_start", salt).orderBy(*order)
+    if salts > 1:
+        salted = Window.partitionBy(
+            "window_start", F.pmod(F.xxhash64(key), F.lit(salts))).orderBy(*order)
         totals = (
             totals.withColumn("salted_rank", F.row_number().over(salted))
             .where(F.col("salted_rank") <= n)
@@ -33,9 +31,10 @@ def top_n_per_window(totals: DataFrame, key: str, n: int = C.TOP_N) -> DataFrame
 
 
 def clamp_limit(limit: int) -> int:
+    """The limit that a serving read grants."""
     return max(C.MIN_LIMIT, min(C.MAX_LIMIT, limit))
 
 
 def by_rank(rankings: DataFrame, limit: int = C.DEFAULT_LIMIT) -> DataFrame:
     """The first `limit` rows by rank, as a distributed top-k."""
-    return rankings.orderBy("rank").limit(clamp_limit(limit))
+    return rankings.orderBy("rank").limit(limit)

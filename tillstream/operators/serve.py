@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tillstream import constants as C
 from tillstream.functions.times import format_response_time
-from tillstream.operators.rank import by_rank
+from tillstream.operators.rank import by_rank, clamp_limit
 
 RANKING_KEY = ("window_start", "rank")
 RANKING_VERSION = ("updated_at", "batch_id")
@@ -30,6 +30,20 @@ def latest_by_key(log: DataFrame, keys: Sequence[str] = RANKING_KEY,
     )
 
 
+def latest_windows(log: DataFrame, version: Sequence[str] = RANKING_VERSION) -> DataFrame:
+    """Keep the newest version of each window as a whole.
+
+    Unlike `latest_by_key`, ranks that only an older version has are gone too, so a key can't stand
+    at two ranks. A window has few rows, those of its rankings.
+    """
+    newest = F.max(F.struct(*version)).over(Window.partitionBy("window_start"))
+    return (
+        log.withColumn("newest", newest)
+        .where(F.struct(*version).eqNullSafe(F.col("newest")))
+        .drop("newest")
+    )
+
+
 def window_of_text(text: str) -> Column:
     """Timestamp of a window given as text, fails on text that is none.
 
@@ -58,17 +72,48 @@ def _on_date_of(log: DataFrame, window_start: Column) -> DataFrame:
     return log.where(F.col("window_date") == F.to_date(window_start))
 
 
+def _newest_start(log: DataFrame) -> Column:
+    """Start of the newest window; read from the newest date, where the table has dates."""
+    if "window_date" in log.columns:
+        log = log.where(F.col("window_date") == log.agg(F.max("window_date")).scalar())
+    return log.agg(F.max("window_start")).scalar()
+
+
+def _newest_start_of(log: DataFrame, country: str) -> Column:
+    """Start of the newest window in which a row of the country is still the newest of its key.
+
+    Dates are gone through from the newest on, 1, 2, 4, ... at once, until one has such a row: as a
+    rule a single date is read. Dates come from the folders; one list of them is all that
+    the driver gets.
+    """
+    def newest(part: DataFrame) -> DataFrame:
+        return _of_country(latest_by_key(part), country).agg(
+            F.max("window_start").alias("newest_start"))
+
+    if "window_date" not in log.columns:
+        return newest(log).scalar()
+    dates = sorted((row[0] for row in log.select("window_date").distinct().collect()
+                    if row[0] is not None), reverse=True)
+    width = 1
+    while dates:
+        some, dates, width = dates[:width], dates[width:], 2 * width
+        between = F.col("window_date").between(F.lit(some[-1]), F.lit(some[0]))
+        start = newest(log.where(between)).select(F.unix_micros("newest_start")).first()[0]
+        if start is not None:
+            return F.timestamp_micros(F.lit(start))
+    return F.lit(None).cast("timestamp")
+
+
 def latest_rankings(log: DataFrame, country: str | None = None,
                     limit: int = C.DEFAULT_LIMIT) -> DataFrame:
     """Rows of the newest window, by rank.
 
     Without a country every key of the newest window survives `latest_by_key`, so its start is
-    a plain maximum. The start found prunes the scan of the rows to one date at run time.
+    a plain maximum. The start found prunes the scan of the rows to one date.
     """
-    known = log if country is None else _of_country(latest_by_key(log), country)
-    newest = known.agg(F.max("window_start").alias("newest_start")).scalar()
+    newest = _newest_start(log) if country is None else _newest_start_of(log, country)
     rows = latest_by_key(_on_date_of(log, newest)).where(F.col("window_start") == newest)
-    return by_rank(_of_country(rows, country), limit)
+    return by_rank(_of_country(rows, country), clamp_limit(limit))
 
 
 def rankings_for_window(log: DataFrame, window: str, country: str | None = None,
@@ -76,7 +121,7 @@ def rankings_for_window(log: DataFrame, window: str, country: str | None = None,
     """Rows of the window that starts at the given time, by rank."""
     start = window_of_text(window)
     rows = latest_by_key(_on_date_of(log, start)).where(F.col("window_start") == start)
-    return by_rank(_of_country(rows, country), limit)
+    return by_rank(_of_country(rows, country), clamp_limit(limit))
 
 
 def rankings(log: DataFrame, window: str | None = C.LATEST, country: str | None = None,

@@ -12,9 +12,10 @@ from tillstream.operators.normalize import filter_country
 from tillstream.operators.rank import top_n_per_window
 
 
-def top_cities(sales: DataFrame, n: int = C.TOP_N, length: str = C.WINDOW_LENGTH) -> DataFrame:
+def top_cities(sales: DataFrame, n: int = C.TOP_N, length: str = C.WINDOW_LENGTH,
+               salts: int = 1) -> DataFrame:
     """Top cities by total sales in each window."""
-    return top_n_per_window(sales_by_window(sales, "city", length), "city", n)
+    return top_n_per_window(sales_by_window(sales, "city", length), "city", n, salts)
 
 
 def top_salesmen(sales: DataFrame, country: str = C.RANKED_COUNTRY, n: int = C.TOP_N,

@@ -3,20 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import suppress
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstream import constants as C
 from tillstream import schemas
-from tillstream.functions import fields, times
-from tillstream.operators import metrics, serve
+from tillstream.functions import times
+from tillstream.operators import alerts, metrics, serve
 from tillstream.operators.aggregate import merge_partials, sales_by_window
 from tillstream.operators.normalize import (
-    dq_counts, filter_country, normalize_sales, parse_sales_json, quarantine, read_unified,
-    unify_sources, with_event_time,
+    dq_counts, filter_country, normalize_sales, quarantine, read_unified, unify_sources,
+    with_event_time,
 )
-from tillstream.operators.rank import by_rank
+from tillstream.operators.normalize import unplaceable_times as set_aside
+from tillstream.operators.rank import top_n_per_window
 from tillstream.plans.batch import top_cities, top_salesmen, with_window_text
 from tillstream.plans.events import (
     as_sales, csv_rows, legacy_rows, read_events, read_sales, relational_rows, source_records,
@@ -28,10 +30,14 @@ from tillstream.sinks.rankings import (
 )
 from tillstream.sinks.topic import to_topic_records, unified_records, write_topic
 from tillstream.sources.csv_sales import read_csv_sales, read_csv_sales_by_name
-from tillstream.sources.legacy import read_legacy_sales
-from tillstream.sources.relational import advance_mark, poll, relational_records, scan_since
+from tillstream.sources.legacy import poll_legacy, read_legacy_sales
+from tillstream.sources.relational import (
+    advance_mark, poll, relational_records, save_mark, scan_since,
+)
 from tillstream.sources.topic import read_topic
-from tillstream.streaming.jobs import normalization_job, ranking_job, run_available
+from tillstream.streaming.jobs import (
+    normalization_job, quarantine_job, ranking_job, ranking_quarantine_job, run_available,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -87,7 +93,10 @@ def sales_window_15m(spark: SparkSession, sf_dir: str) -> DataFrame:
 def merge_partial_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Partial totals of each country, as separate flushes would give them, merged per city."""
     sales = read_sales(spark, sf_dir)
-    partials = [sales_by_window(filter_country(sales, c), "city") for c in ("BR", "AR", "US")]
+    named = F.upper("country").isin("BR", "AR")
+    partials = [sales_by_window(part, "city") for part in (
+        filter_country(sales, "BR"), filter_country(sales, "AR"),
+        sales.where(~F.coalesce(named, F.lit(False))))]
     union = partials[0].unionByName(partials[1]).unionByName(partials[2])
     return with_window_text(merge_partials(union, "city"))
 
@@ -123,8 +132,12 @@ def unify_all_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select(*EVENT_COLUMNS)
 
 
-_PRODUCTS_OF_SOURCE = {
-    "postgres": ("signup", "click"), "files": ("view", "error"), "legacy": ("purchase",)}
+def _parts(sales: DataFrame) -> dict[str, DataFrame]:
+    """Every sale in one of the three sources, by product; all others come from the last."""
+    product = F.coalesce("product", F.lit(""))
+    first, second = product.isin("signup", "click"), product.isin("view", "error")
+    return {"postgres": sales.where(first), "files": sales.where(second),
+            "legacy": sales.where(~first & ~second)}
 
 
 @query
@@ -132,9 +145,8 @@ def top_cities_from_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From the raw records of three sources, each sale in one of them, to the city ranking."""
     sales = read_sales(spark, sf_dir)
     events = unify_sources(*[
-        normalize_sales(source_records(sales.where(F.col("product").isin(*products)), source),
-                        source)
-        for source, products in _PRODUCTS_OF_SOURCE.items()])
+        normalize_sales(source_records(part, source), source)
+        for source, part in _parts(sales).items()])
     return with_window_text(top_cities(with_event_time(events))).select(*CITY_COLUMNS)
 
 
@@ -164,6 +176,12 @@ def _text(*parts: str | Column) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
 
 
+def _read_back(records: DataFrame, column: str) -> DataFrame:
+    """One column of the normalized records, by event."""
+    now = F.lit(_NO_TIME).cast("bigint")
+    return normalize_sales(records, "any", now_ms=now, carry=["event_id"]).select("event_id", column)
+
+
 @query
 def parse_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event time in ms from every accepted and several rejected JSON forms."""
@@ -184,10 +202,7 @@ def parse_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
         _text('{"eventTime":{"ms":', ms, "}}"),
         _text('{"eventTime":" ', ms, '"}'),
     ]
-    parsed = parse_sales_json(_json_variants(read_events(spark, sf_dir), shapes))
-    now = F.lit(_NO_TIME).cast("bigint")
-    return parsed.select("event_id", times.parse_event_time(
-        F.col("json"), F.try_parse_json("value"), now).alias("event_time_ms"))
+    return _read_back(_json_variants(read_events(spark, sf_dir), shapes), "event_time_ms")
 
 
 @query
@@ -209,10 +224,7 @@ def lenient_double(spark: SparkSession, sf_dir: str) -> DataFrame:
     ]
     number = F.pmod("event_id", F.lit(len(shapes)))
     text = F.element_at(F.array(*shapes), number.cast("int") + 1)
-    parsed = parse_sales_json(events.select("event_id", text.alias("value")))
-    return parsed.select(
-        "event_id", fields.lenient_double(
-            F.col("json"), F.try_parse_json("value"), C.AMOUNT_ALIASES).alias("amount"))
+    return _read_back(events.select("event_id", text.alias("value")), "amount")
 
 
 @query
@@ -232,10 +244,7 @@ def alias_string(spark: SparkSession, sf_dir: str) -> DataFrame:
         _text('{"id":true,"n":', number, "}"),
         _text("[", number, "]"),
     ]
-    parsed = parse_sales_json(_json_variants(read_events(spark, sf_dir), shapes))
-    return parsed.select(
-        "event_id", fields.alias_string(
-            F.col("json"), F.try_parse_json("value"), C.SALE_ID_ALIASES).alias("sale_id"))
+    return _read_back(_json_variants(read_events(spark, sf_dir), shapes), "sale_id")
 
 
 @query
@@ -256,6 +265,20 @@ def dq_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dq_counts(normalize_sales(records, now_ms=now, with_flags=True))
 
 
+@query
+def unplaceable_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event times as numbers of three sizes; those beyond TIMESTAMP have no window and are set
+    aside. Placed and set aside, all events are there."""
+    part = F.pmod("event_id", F.lit(3))
+    ms = F.unix_millis("ts")
+    number = F.when(part == 0, ms).when(part == 1, F.lit(2**63 - 1)).otherwise(-ms - 10**16)
+    events = _read_back(read_events(spark, sf_dir).select(
+        "event_id", _text('{"eventTime":"', number, '"}').alias("value")), "event_time_ms")
+    placed = with_event_time(events.withColumn("amount", F.lit(0.0)))
+    return placed.select("event_id", F.lit("placed").alias("kind")).unionByName(
+        set_aside(events).select("event_id", F.lit("aside").alias("kind")))
+
+
 @query
 def quarantine_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records cut short or left unquoted are set aside; whole ones are not."""
@@ -281,16 +304,17 @@ RELATIONAL_OUT = ("id", "salesman_id", "salesman", "city", "country", "amount",
 
 @query
 def scan_since_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First page of the relational table: the keys above a new producer's mark of 0."""
+    """The relational table above a mark at a third of its keys."""
     table = relational_rows(read_sales(spark, sf_dir))
-    return relational_records(scan_since(table, 0)).select(*RELATIONAL_OUT)
+    mark = table.agg(F.max("id")).first()[0] // 3
+    return relational_records(scan_since(table, mark)).select(*RELATIONAL_OUT)
 
 
 @query
 def scan_backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Everything above the mark in one unpaged scan."""
     table = relational_rows(read_sales(spark, sf_dir))
-    return relational_records(scan_since(table, 0, page=None)).select(*RELATIONAL_OUT)
+    return relational_records(scan_since(table, 0)).select(*RELATIONAL_OUT)
 
 
 @query
@@ -308,13 +332,82 @@ def poll_to_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     def send(rows: DataFrame) -> None:
         write_topic(to_topic_records(relational_records(rows)), topic, fmt="parquet")
 
-    poll(spark, table, marks, send, page=None)
-    poll(spark, table, marks, send, page=None)
+    poll(spark, table, marks, send)
+    poll(spark, table, marks, send)
     records = read_topic(spark, topic, fmt="parquet", streaming=False)
     return normalize_sales(
         records, "postgres", now_ms=F.lit(_NO_TIME).cast("bigint")).select(*EVENT_COLUMNS)
 
 
+@query
+def poll_by_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From a mark at half of the keys, page by page until nothing is left; the record keys."""
+    base = run_dir(spark, "pages")
+    topic, marks = f"{base}/topic", f"{base}/marks"
+    table = relational_rows(read_sales(spark, sf_dir))
+    highest = table.agg(F.max("id")).first()[0]
+    save_mark(spark, marks, highest // 2)
+
+    def send(rows: DataFrame) -> None:
+        write_topic(to_topic_records(relational_records(rows)), topic, fmt="parquet")
+
+    poll(spark, table, marks, send, page=highest // 8 + 1)
+    return spark.read.schema("key STRING, value STRING").parquet(topic).select("key")
+
+
+@query
+def record_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of the source topics' records, and how long their values are."""
+    sales = read_sales(spark, sf_dir)
+    parts = [source_records(sales, source).select(F.lit(source).alias("source"), "key")
+             for source in C.SOURCES]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query
+def legacy_poll(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Legacy responses polled from a time within them; a failed poll keeps the time."""
+    base = run_dir(spark, "legacy")
+    sales = legacy_rows(read_sales(spark, sf_dir))
+    (sales.write.format("xml").option("rootTag", "response").option("rowTag", "sales")
+     .save(f"{base}/in"))
+    since, newest = sales.agg(F.percentile_approx("saleDate", 0.5), F.max("saleDate")).first()
+    marks = f"{base}/marks"
+    save_mark(spark, marks, since, C.LEGACY_PRODUCER)
+
+    def fail(rows: DataFrame) -> None:
+        raise ConnectionError
+
+    def send(rows: DataFrame) -> None:
+        write_topic(to_topic_records(rows), f"{base}/topic", fmt="parquet")
+
+    with suppress(ConnectionError):
+        poll_legacy(spark, f"{base}/in", marks, fail, newest)
+    poll_legacy(spark, f"{base}/in", marks, send, newest)
+    poll_legacy(spark, f"{base}/in", marks, send, newest)
+    sent = read_topic(spark, f"{base}/topic", fmt="parquet", streaming=False)
+    events = normalize_sales(sent, "legacy", now_ms=F.lit(_NO_TIME).cast("bigint"))
+    lowest = F.lit(since).cast("bigint").alias("since_ms")
+    return events.select("sale_id", "event_time_ms").withColumn("after", F.col("event_time_ms") > lowest)
+
+
+@query
+def csv_stream_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of two layouts, some empty cells, streamed by the names in their headers."""
+    base = run_dir(spark, "csv-stream")
+    rows = csv_rows(read_sales(spark, sf_dir)).withColumn(
+        "product", F.when(F.col("product") == "click", "").otherwise(F.col("product")))
+    brazil = F.upper("country") == C.RANKED_COUNTRY
+    writer = {"header": True, "emptyValue": ""}
+    rows.where(brazil).write.options(**writer).csv(f"{base}/in/usual")
+    (rows.where(~brazil).select(*reversed(C.CSV_COLUMNS))
+     .write.options(**writer).csv(f"{base}/in/reversed"))
+    stream = read_csv_sales_by_name(spark, f"{base}/in", streaming=True)
+    run_available(stream.writeStream.format("parquet").option("path", f"{base}/out")
+                  .option("checkpointLocation", f"{base}/checkpoint"))
+    return spark.read.schema(schemas.CSV_SALE).parquet(f"{base}/out")
+
+
 @query
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = run_dir(spark, "csv")
@@ -363,7 +456,7 @@ def rankings_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     replace_rankings(ranking_rows(top_cities(sales), batch_id=0), path)
     replace_rankings(ranking_rows(top_cities(filter_country(sales)), batch_id=1), path)
     table = read_rankings(spark, path, schemas.CITY_RANKING)
-    return with_window_text(table).select(*CITY_COLUMNS)
+    return with_window_text(serve.latest_windows(table)).select(*CITY_COLUMNS)
 
 
 # --- serving reads -------------------------------------------------------------------
@@ -420,16 +513,16 @@ def latest_rankings_salesman(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def rankings_for_window_city(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = city_log(spark, sf_dir)
+    table = _written(spark, city_log(spark, sf_dir), "city-log", schemas.CITY_RANKING)
     return with_window_text(
-        serve.rankings_for_window(log, SERVED_WINDOW)).select(*CITY_COLUMNS)
+        serve.rankings_for_window(table, SERVED_WINDOW)).select(*CITY_COLUMNS)
 
 
 @query
 def rankings_for_window_salesman(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = salesman_log(spark, sf_dir)
+    table = _written(spark, salesman_log(spark, sf_dir), "man-log", schemas.SALESMAN_RANKING)
     return with_window_text(
-        serve.rankings_for_window(log, SERVED_WINDOW, "AR")).select(*SALESMAN_COLUMNS)
+        serve.rankings_for_window(table, SERVED_WINDOW, "AR")).select(*SALESMAN_COLUMNS)
 
 
 def _as_json(response: DataFrame) -> DataFrame:
@@ -438,27 +531,43 @@ def _as_json(response: DataFrame) -> DataFrame:
 
 @query
 def city_response(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _as_json(serve.top_sales_by_city(city_log(spark, sf_dir)))
+    table = _written(spark, city_log(spark, sf_dir), "city-log", schemas.CITY_RANKING)
+    return _as_json(serve.top_sales_by_city(table))
 
 
 @query
 def salesman_response(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _as_json(serve.top_salesmen(salesman_log(spark, sf_dir), SERVED_WINDOW))
+    table = _written(spark, salesman_log(spark, sf_dir), "man-log", schemas.SALESMAN_RANKING)
+    return _as_json(serve.top_salesmen(table, SERVED_WINDOW))
 
 
 @query
 def empty_response(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A country nobody ranked, in other letter case than the stored one."""
-    return _as_json(serve.top_salesmen(salesman_log(spark, sf_dir), country="br"))
+    table = _written(spark, salesman_log(spark, sf_dir), "man-log", schemas.SALESMAN_RANKING)
+    return _as_json(serve.top_salesmen(table, country="br"))
+
+
+@query
+def latest_whole_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest version of each window as a whole: no rank of an older one is left."""
+    table = _written(spark, city_log(spark, sf_dir), "city-log", schemas.CITY_RANKING)
+    return with_window_text(serve.latest_windows(table)).select(*CITY_COLUMNS)
+
+
+LONG_WINDOW = "720 hours"
+LONG_WINDOW_START = "2023-12-19T00:00:00Z"
 
 
 @query
 def first_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ordered, limited read with a limit beyond the upper bound of 100."""
-    ranked = top_cities(read_sales(spark, sf_dir))
+    """Read of a window with over 100 ranks, with a limit beyond the upper bound of 100."""
+    totals = sales_by_window(read_sales(spark, sf_dir), "salesman_name", LONG_WINDOW)
+    ranked = top_n_per_window(totals, "salesman_name", 2000, salts=16)
+    rows = ranked.withColumn("country", F.lit("BR"))
+    log = _written(spark, ranking_rows(rows), "long-log", schemas.SALESMAN_RANKING)
     return with_window_text(
-        by_rank(ranked.where(F.col("window_start") == serve.window_of_text(SERVED_WINDOW)), 1000)
-    ).select(*CITY_COLUMNS)
+        serve.rankings_for_window(log, LONG_WINDOW_START, limit=1000)).select(*SALESMAN_COLUMNS)
 
 
 # --- metrics -------------------------------------------------------------------------
@@ -534,9 +643,50 @@ def sustained_breaches(spark: SparkSession, sf_dir: str) -> DataFrame:
         "samples", "duration_seconds")
 
 
+def _breaches(found: DataFrame, series: str) -> DataFrame:
+    return found.select(
+        series, times.format_window(F.col("breach_start")).alias("breach_start"),
+        times.format_window(F.col("breach_end")).alias("breach_end"), "samples", "duration_seconds")
+
+
+@query
+def alert_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event values as consumer lag, 500 records for each unit."""
+    samples = read_events(spark, sf_dir).withColumn("lag", F.col("value") * 500)
+    return _breaches(alerts.consumer_lag(
+        samples, "event_type", value="lag", seq="event_id"), "event_type")
+
+
+@query
+def alert_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event values as checkpoint times, 3000 ms for each unit."""
+    samples = read_events(spark, sf_dir).withColumn("took_ms", F.col("value") * 3000)
+    return _breaches(alerts.checkpoint_time(
+        samples, "event_type", value="took_ms", seq="event_id"), "event_type")
+
+
+@query
+def alert_latency_p95(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Request buckets of one endpoint, read at every event, fast and slow by turns of 1000
+    requests; rates over six hours, as events are minutes apart."""
+    turn = F.floor(F.col("event_id") / 1000)
+    done = F.floor(turn / 2) * 1000 + F.when(turn % 2 == 1, 1000).otherwise(
+        F.pmod("event_id", F.lit(1000)))
+    slow = F.floor(turn / 2) * 1000 + F.when(turn % 2 == 1, F.pmod("event_id", F.lit(1000))).otherwise(0)
+    # Of 10 fast requests 9 take up to half a second, of 10 slow ones 2; all others up to 5.
+    buckets = F.array(
+        F.struct(F.lit(0.5).alias("le"), (done * 9 + slow * 2).cast("double").alias("value")),
+        F.struct(F.lit(1.0).alias("le"), (done * 10 + slow * 3).cast("double").alias("value")),
+        F.struct(F.lit(5.0).alias("le"), (done * 10 + slow * 10).cast("double").alias("value")),
+        F.struct(F.lit(float("inf")).alias("le"), (done * 10 + slow * 10).cast("double").alias("value")))
+    samples = read_events(spark, sf_dir).select(
+        "event_id", "ts", F.lit("/rankings").alias("uri"), F.inline(buckets))
+    return _breaches(alerts.latency_p95(samples, "uri", "event_id", rate_seconds=21_600), "uri")
+
+
 @query
 def latest_gauge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    newest = metrics.latest_gauge(read_events(spark, sf_dir), "event_type")
+    newest = metrics.latest_gauge(read_events(spark, sf_dir), "event_type", seq="event_id")
     return newest.select("event_type", times.format_window(F.col("ts")).alias("ts"), "value")
 
 
@@ -575,16 +725,128 @@ def stream_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three source topics, normalization stream, unified topic, ranking stream, table."""
     base = run_dir(spark, "stream-chain")
     sales = read_sales(spark, sf_dir)
-    for source, products in _PRODUCTS_OF_SOURCE.items():
-        write_topic(
-            source_records(sales.where(F.col("product").isin(*products)), source),
-            f"{base}/{source}", fmt="parquet")
+    for source, part in _parts(sales).items():
+        write_topic(source_records(part, source), f"{base}/{source}", fmt="parquet")
     topics = {
-        source: read_topic(spark, f"{base}/{source}", fmt="parquet")
-        for source in _PRODUCTS_OF_SOURCE}
+        source: read_topic(spark, f"{base}/{source}", fmt="parquet") for source in C.SOURCES}
     run_available(normalization_job(
         topics, f"{base}/unified", f"{base}/normalization", fmt="text"))
     unified = with_event_time(read_unified(read_topic(spark, f"{base}/unified", fmt="text")))
     run_available(ranking_job(unified, "city", f"{base}/table", f"{base}/ranking"))
     table = read_rankings(spark, f"{base}/table", schemas.CITY_RANKING)
     return with_window_text(serve.latest_by_key(table)).select(*CITY_COLUMNS)
+
+
+# --- streams of several micro-batches -----------------------------------------------------
+
+class _Topic:
+    """A unified topic that gets its events in portions, each a run of the ranking job."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.base, self.portions = spark, run_dir(spark, name), 0
+
+    def add(self, sales: DataFrame) -> None:
+        events = normalize_sales(source_records(sales, "legacy"), "legacy")
+        write_topic(unified_records(events), f"{self.base}/topic/portion={self.portions}", fmt="text")
+        self.portions += 1
+
+    def run(self, checkpoint: str = "checkpoint") -> None:
+        records = read_topic(self.spark, f"{self.base}/topic/*", fmt="text")
+        run_available(ranking_job(with_event_time(read_unified(records)), "city",
+                                  f"{self.base}/table", f"{self.base}/{checkpoint}"))
+
+    def rankings(self) -> DataFrame:
+        table = read_rankings(self.spark, f"{self.base}/table", schemas.CITY_RANKING)
+        return with_window_text(serve.latest_windows(table)).select(*CITY_COLUMNS)
+
+
+def _number_of(sale_id: str) -> Column:
+    return F.substring(sale_id, 2, 20).cast("bigint")
+
+
+def _is_late() -> Column:
+    return F.pmod("event_id", F.lit(17)) == 0
+
+
+@query
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every 17th sale comes after the watermark has passed all: its window closes without it."""
+    sales = read_sales(spark, sf_dir)
+    newest = sales.where(~_is_late()).agg(F.max("event_time")).first()[0]
+    topic = _Topic(spark, "stream-late")
+    for portion in (sales.where(~_is_late() & (F.col("event_time") < newest)),
+                    sales.where(~_is_late() & (F.col("event_time") == newest)),
+                    sales.where(_is_late())):
+        topic.add(portion)
+        topic.run()
+    return topic.rankings()
+
+
+@query
+def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job loses its checkpoint and ranks everything again into the same table."""
+    sales = read_sales(spark, sf_dir)
+    topic = _Topic(spark, "stream-replay")
+    topic.add(sales)
+    topic.run()
+    topic.run("another-checkpoint")
+    return topic.rankings()
+
+
+@query
+def stream_idle_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One of three source topics never gets a record; the others' windows close all the same."""
+    base = run_dir(spark, "stream-idle")
+    parts = _parts(read_sales(spark, sf_dir))
+    write_topic(source_records(parts["postgres"], "postgres"), f"{base}/postgres", fmt="parquet")
+    write_topic(source_records(parts["files"], "files"), f"{base}/files", fmt="parquet")
+    write_topic(source_records(parts["legacy"].limit(0), "legacy"), f"{base}/legacy", fmt="parquet")
+    events = unify_sources(*[
+        normalize_sales(read_topic(spark, f"{base}/{source}", fmt="parquet"), source)
+        for source in C.SOURCES])
+    run_available(ranking_job(with_event_time(events), "city", f"{base}/table",
+                              f"{base}/checkpoint"))
+    table = read_rankings(spark, f"{base}/table", schemas.CITY_RANKING)
+    return with_window_text(serve.latest_windows(table)).select(*CITY_COLUMNS)
+
+
+@query
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fifth record cut short: events and quarantined records are all that came in."""
+    base = run_dir(spark, "stream-quarantine")
+    records = source_records(read_sales(spark, sf_dir), "legacy")
+    cut = _number_of("key") % 5 == 0
+    damaged = records.select("key", F.when(cut, F.expr("left(value, length(value) - 1)"))
+                             .otherwise(F.col("value")).alias("value"))
+    write_topic(damaged, f"{base}/legacy", fmt="parquet")
+    topics = {"legacy": read_topic(spark, f"{base}/legacy", fmt="parquet")}
+    run_available(normalization_job(topics, f"{base}/unified", f"{base}/normalization", fmt="text"))
+    run_available(quarantine_job(topics, f"{base}/aside", f"{base}/quarantine"))
+    events = read_unified(read_topic(spark, f"{base}/unified", fmt="text", streaming=False))
+    aside = spark.read.schema("source STRING, value STRING").parquet(f"{base}/aside")
+    return events.select(F.lit("event").alias("kind"), "sale_id").unionByName(aside.select(
+        F.lit("malformed").alias("kind"),
+        F.regexp_extract("value", '"saleId":"([^"]*)"', 1).alias("sale_id")))
+
+
+@query
+def stream_ranking_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unified records that no ranking can use, by reason; the rankings go on without them."""
+    base = run_dir(spark, "ranking-quarantine")
+    events = normalize_sales(source_records(read_sales(spark, sf_dir), "legacy"), "legacy")
+    number = _number_of("sale_id") % 7
+    timed = events.withColumn("event_time_ms", F.when(number == 0, F.lit(2**62)).otherwise(
+        F.col("event_time_ms")))
+    records = unified_records(timed.where(number != 1)).unionByName(
+        timed.where(number == 1).select(F.concat(F.lit("{"), "sale_id").alias("value")))
+    write_topic(records, f"{base}/unified", fmt="text")
+    stream = read_topic(spark, f"{base}/unified", fmt="text")
+    run_available(ranking_job(with_event_time(read_unified(stream)), "city", f"{base}/table",
+                              f"{base}/ranking"))
+    run_available(ranking_quarantine_job(stream, f"{base}/aside", f"{base}/quarantine"))
+    table = read_rankings(spark, f"{base}/table", schemas.CITY_RANKING)
+    ranked = serve.latest_windows(table).select(F.lit("ranked window").alias("reason"),
+                                                F.col("window_start").cast("string").alias("what"))
+    aside = spark.read.schema("reason STRING, value STRING").parquet(f"{base}/aside")
+    what = F.coalesce(F.get_json_object("value", "$.saleId"), F.expr("substring(value, 2)"))
+    return ranked.distinct().unionByName(aside.select("reason", what.alias("what")))

@@ -24,7 +24,7 @@ def _totals(key: str, where: str = "true", bucket: str = "date_trunc('hour', eve
             length: str = "1 HOUR") -> str:
     return f"""
 SELECT {bucket} AS window_start, {bucket} + INTERVAL {length} AS window_end, {key},
-       CAST(sum(amount) AS DECIMAL(18,2)) AS total_sales,
+       CAST(sum(amount) AS DECIMAL(28,2)) AS total_sales,
        CAST(count(*) AS BIGINT) AS transaction_count
 FROM ({SALES}) WHERE {where} GROUP BY ALL"""
 
@@ -112,7 +112,7 @@ SELECT event_id + 1 AS id, user_id AS salesman_id, salesman_name AS salesman, ci
        CAST(amount AS DECIMAL(12,2)) AS amount, product,
        {_ISO_LOCAL.format('event_time')} || 'Z' AS sale_date,
        {_ISO_LOCAL.format('event_time')} || 'Z' AS created_at
-FROM ({SALES}) WHERE event_id + 1 > 0"""
+FROM ({SALES})"""
 
 _CSV = f"""
 SELECT sale_id, salesman_name, city, country, CAST(amount AS VARCHAR) AS amount, product,
@@ -175,6 +175,81 @@ SELECT event_type, strftime(s, '%Y-%m-%d %H:%M:%S') AS breach_start,
        CAST(epoch_us(e) - epoch_us(s) AS DOUBLE) / 1e6 AS duration_seconds
 FROM runs WHERE epoch_us(e) - epoch_us(s) >= 300000000"""
 
+def _breaches(samples: str, series: str, bound: float, seconds: int) -> str:
+    return f"""
+WITH samples AS ({samples}), marked AS (
+  SELECT *, sum(CASE WHEN value > {bound} THEN 0 ELSE 1 END) OVER (
+    PARTITION BY {series} ORDER BY ts, event_id) AS island
+  FROM samples
+), runs AS (
+  SELECT {series}, island, min(ts) AS s, max(ts) AS e, count(*) AS n
+  FROM marked WHERE value > {bound} GROUP BY ALL)
+SELECT {series}, strftime(s, '%Y-%m-%d %H:%M:%S') AS breach_start,
+       strftime(e, '%Y-%m-%d %H:%M:%S') AS breach_end, CAST(n AS BIGINT) AS samples,
+       CAST(epoch_us(e) - epoch_us(s) AS DOUBLE) / 1e6 AS duration_seconds
+FROM runs WHERE epoch_us(e) - epoch_us(s) >= {seconds}000000"""
+
+
+_REQUESTS = """
+SELECT event_id, ts, (event_id // 1000 // 2) * 1000
+         + CASE WHEN event_id // 1000 % 2 = 1 THEN 1000 ELSE event_id % 1000 END AS done,
+       (event_id // 1000 // 2) * 1000
+         + CASE WHEN event_id // 1000 % 2 = 1 THEN event_id % 1000 ELSE 0 END AS slow
+FROM events"""
+
+_LATENCY_SAMPLES = f"""
+WITH requests AS ({_REQUESTS}), counters AS (
+  SELECT event_id, ts, CAST('0.5' AS DOUBLE) AS le, CAST(done * 9 + slow * 2 AS DOUBLE) AS value FROM requests
+  UNION ALL SELECT event_id, ts, CAST('1' AS DOUBLE), CAST(done * 10 + slow * 3 AS DOUBLE) FROM requests
+  UNION ALL SELECT event_id, ts, CAST('5' AS DOUBLE), CAST(done * 10 + slow * 10 AS DOUBLE) FROM requests
+  UNION ALL SELECT event_id, ts, CAST('Infinity' AS DOUBLE), CAST(done * 10 + slow * 10 AS DOUBLE)
+  FROM requests
+), framed AS (
+  SELECT event_id, ts, le, value - first_value(value) OVER recent AS increase,
+         CAST(epoch_us(ts) - first_value(epoch_us(ts)) OVER recent AS DOUBLE) / 1e6 AS elapsed
+  FROM counters
+  WINDOW recent AS (PARTITION BY le ORDER BY ts
+                      RANGE BETWEEN INTERVAL 21600 SECOND PRECEDING AND CURRENT ROW)
+), rated AS (
+  SELECT event_id, ts, le, increase / elapsed AS reached FROM framed WHERE elapsed > 0
+), placed AS (
+  SELECT *, coalesce(lag(reached) OVER p, 0) AS below, coalesce(lag(le) OVER p, 0) AS lower,
+         max(reached) OVER (PARTITION BY event_id) AS total
+  FROM rated WINDOW p AS (PARTITION BY event_id ORDER BY le)
+), hit AS (
+  SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY le) AS nth
+  FROM placed WHERE total > 0 AND reached >= CAST('0.95' AS DOUBLE) * total
+)
+SELECT '/rankings' AS uri, event_id, ts,
+       CASE WHEN isinf(le) THEN lower WHEN reached = below THEN le
+            ELSE lower + (le - lower) * ((CAST('0.95' AS DOUBLE) * total - below) / (reached - below)) END AS value
+FROM hit WHERE nth = 1"""
+
+_LATENCY = _breaches(_LATENCY_SAMPLES, "uri", 2, 300)
+
+# A window of 720 hours, counted from 1970.
+_LONG = f"""
+WITH totals AS (
+  SELECT make_timestamp(epoch_us(event_time) // 2592000000000 * 2592000000000) AS window_start,
+         make_timestamp((epoch_us(event_time) // 2592000000000 + 1) * 2592000000000) AS window_end,
+         salesman_name, CAST(sum(amount) AS DECIMAL(28,2)) AS total_sales,
+         CAST(count(*) AS BIGINT) AS transaction_count
+  FROM ({SALES}) GROUP BY ALL)
+SELECT * FROM (
+  SELECT *, 'BR' AS country, CAST(row_number() OVER (
+    PARTITION BY window_start ORDER BY total_sales DESC, salesman_name) AS INTEGER) AS rank
+  FROM totals)
+WHERE window_start = TIMESTAMP '2023-12-19 00:00:00' AND rank <= 100"""
+
+_WHOLE = f"""
+SELECT * FROM ({CITY_LOG}) AS log
+WHERE (window_start, updated_at, batch_id) IN (
+  SELECT window_start, updated_at, batch_id FROM (
+    SELECT window_start, updated_at, batch_id, row_number() OVER (
+      PARTITION BY window_start ORDER BY updated_at DESC, batch_id DESC) AS nth
+    FROM ({CITY_LOG})) WHERE nth = 1)"""
+
+
 _PARSE_TIME = """
 SELECT event_id, CAST(CASE event_id % 12
   WHEN 0 THEN epoch_us(ts) // 1000000 * 1000
@@ -266,10 +341,28 @@ FROM events""",
         "alias_string": _ALIASES,
         "dq_counters": _DQ,
         "quarantine_malformed": _MALFORMED,
-        "scan_since_mark": f"SELECT * FROM ({_RELATIONAL}) ORDER BY id LIMIT 10000",
+        "scan_since_mark": f"""
+SELECT * FROM ({_RELATIONAL}) WHERE id > (SELECT (max(event_id) + 1) // 3 FROM events)""",
         "scan_backlog": _RELATIONAL,
         "advance_high_water_mark": "SELECT max(event_id) + 1 AS mark FROM events",
         "poll_to_topic": _POSTGRES,
+        "poll_by_pages": """
+SELECT CAST(event_id + 1 AS VARCHAR) AS key FROM events
+WHERE event_id + 1 > (SELECT (max(event_id) + 1) // 2 FROM events)""",
+        "record_keys": " UNION ALL ".join(
+            f"SELECT '{source}' AS source, {key} AS key FROM events" for source, key in (
+                ("postgres", "CAST(event_id + 1 AS VARCHAR)"), ("files", "'E' || event_id"),
+                ("legacy", "'E' || event_id"))),
+        "legacy_poll": """
+WITH timed AS (SELECT event_id, epoch_us(ts) // 1000 AS ms FROM events),
+placed AS (SELECT *, row_number() OVER (ORDER BY ms) AS place, count(*) OVER () AS n FROM timed)
+SELECT 'E' || event_id AS sale_id, ms AS event_time_ms, true AS after FROM timed
+WHERE ms > (SELECT max(ms) FROM placed WHERE place <= ceil(n / 2.0))""",
+        "csv_stream_by_name": f"""
+SELECT sale_id, salesman_name, city, country, amount,
+       CASE WHEN product = 'click' THEN '' ELSE product END AS product, sale_date FROM ({_CSV})""",
+        "unplaceable_times": """
+SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'placed' ELSE 'aside' END AS kind FROM events""",
         "csv_roundtrip": _CSV,
         "csv_by_name_roundtrip": _CSV,
         "legacy_xml_roundtrip": f"""
@@ -292,7 +385,8 @@ FROM ({SALES})""",
         "empty_response": _response(
             _newest(_final(SALESMAN_LOG), "country = 'br'"), "salesman_name", "salesmanName",
             with_country=True),
-        "first_ranks": f"SELECT {_CITY} FROM ({_window(_ranked('city'))})",
+        "first_ranks": f"SELECT {_SALESMAN} FROM ({_LONG})",
+        "latest_whole_windows": f"SELECT {_CITY} FROM ({_WHOLE})",
         "counter_rate_1m": _rate(_COUNTER, "series", 60),
         "counter_rate_5m": _rate(_COUNTER, "series", 300),
         "counter_rate_6h": _rate(_COUNTER, "series", 21600),
@@ -303,15 +397,41 @@ FROM ({SALES})""",
         "histogram_quantile": _QUANTILE,
         "latency_buckets": _BUCKETS,
         "sustained_breaches": _BREACHES,
-        "latest_gauge":
-            "SELECT event_type, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS ts,"
-            " arg_max(value, ts) AS value FROM events GROUP BY event_type",
+        "latest_gauge": """
+SELECT event_type, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS nth
+  FROM events) WHERE nth = 1""",
+        "alert_lag": _breaches("SELECT event_type, event_id, ts, value * 500 AS value FROM events",
+                               "event_type", 10_000, 300),
+        "alert_checkpoint": _breaches(
+            "SELECT event_type, event_id, ts, value * 3000 AS value FROM events",
+            "event_type", 60_000, 180),
+        "alert_latency_p95": _LATENCY,
         "series_by_label":
             f"SELECT event_id, series, value FROM ({_COUNTER}) WHERE series IN ('signup', 'click')",
         "stream_top_cities_hourly": f"SELECT {_CITY} FROM ({_closed(_ranked('city'))})",
         "stream_top_salesmen_hourly_br":
             f"SELECT {_SALESMAN} FROM ("
             + _closed(_ranked("salesman_name", _country("BR"), "BR")) + ")",
+        "stream_late_rows": f"SELECT {_CITY} FROM (" + _closed(
+            _ranked("city", "event_id % 17 <> 0"),
+            "SELECT make_timestamp(max(epoch_us(ts) // 1000 * 1000)) FROM events"
+            " WHERE event_id % 17 <> 0") + ")",
+        "stream_replay": f"SELECT {_CITY} FROM ({_closed(_ranked('city'), _STREAMED_MS)})",
+        "stream_idle_source": f"SELECT {_CITY} FROM (" + _closed(
+            _ranked("city", "product IN ('signup', 'click', 'view', 'error')"),
+            "SELECT make_timestamp(max(epoch_us(ts) // 1000 * 1000)) FROM events"
+            " WHERE event_type IN ('signup', 'click', 'view', 'error')") + ")",
+        "stream_quarantine": """
+SELECT CASE WHEN event_id % 5 = 0 THEN 'malformed' ELSE 'event' END AS kind,
+       'E' || event_id AS sale_id FROM events""",
+        "stream_ranking_quarantine": f"""
+SELECT DISTINCT 'ranked window' AS reason, strftime(window_start, '%Y-%m-%d %H:%M:%S') AS what
+FROM (""" + _closed(_ranked("city", "event_id % 7 > 1"),
+                    "SELECT make_timestamp(max(epoch_us(ts) // 1000 * 1000)) FROM events"
+                    " WHERE event_id % 7 > 1") + """)
+UNION ALL SELECT CASE event_id % 7 WHEN 0 THEN 'unplaceable' ELSE 'unreadable' END, 'E' || event_id
+FROM events WHERE event_id % 7 < 2""",
         "stream_end_to_end":
             f"SELECT {_CITY} FROM ({_closed(_ranked('city'), _STREAMED_MS)})",
     }

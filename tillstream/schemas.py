@@ -4,7 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+from tillstream import constants as C
+
 MONEY = T.DecimalType(18, 2)
+# Holds the sum of 10**10 amounts of the largest size.
+TOTAL = T.DecimalType(28, 2)
+
+# --- Fixed values: field names and types of events, records, sources and results --
 
 SALES_EVENT = T.StructType([
     T.StructField("sale_id", T.StringType()),
@@ -44,8 +50,7 @@ RELATIONAL_SALE = T.StructType([
 ])
 
 CSV_SALE = T.StructType([
-    T.StructField(name, T.StringType())
-    for name in ("sale_id", "salesman_name", "city", "country", "amount", "product", "sale_date")
+    T.StructField(name, T.StringType()) for name in C.CSV_COLUMNS
 ])
 
 LEGACY_SALE = T.StructType([
@@ -62,6 +67,7 @@ RELATIONAL_MARK = T.StructType([
     T.StructField("offset_value", T.LongType()),
     T.StructField("updated_at", T.TimestampType()),
     T.StructField("producer_id", T.StringType()),
+    T.StructField("version", T.LongType()),
 ])
 
 
@@ -73,7 +79,7 @@ def ranking(key: str, with_country: bool = False) -> T.StructType:
         T.StructField("window_end", T.TimestampType()),
         T.StructField(key, T.StringType()),
         *country,
-        T.StructField("total_sales", MONEY),
+        T.StructField("total_sales", TOTAL),
         T.StructField("transaction_count", T.LongType()),
         T.StructField("rank", T.IntegerType()),
         T.StructField("updated_at", T.TimestampType()),

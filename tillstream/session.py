@@ -14,6 +14,9 @@ REQUIRED_SETTINGS = {
     "spark.sql.variant.allowDuplicateKeys": "true",
     # HotSpot leaves methods beyond this size uncompiled; wider stages are split instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Open windows may have more keys than a heap holds.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
@@ -57,3 +60,9 @@ def shared_dir(spark: SparkSession) -> str:
 def run_dir(spark: SparkSession, name: str) -> str:
     """A fresh subfolder path of the shared folder for one run."""
     return f"{shared_dir(spark)}/tillstream/{name}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the job's own, on whatever file system it is."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -3,9 +3,8 @@
 A window has few rows, so a partition per window would leave one tiny file and one folder to
 list for every window ever ranked. A partition per date keeps both small.
 
-Streams append: nothing written is ever touched again, and versions are told apart on reading.
-Restated windows are swapped in by `replace_rankings`, which also folds the files of a date
-into one if it is given the `latest_by_key` rows of that date.
+Everything appends: nothing written is ever touched again, and versions are told apart on reading.
+`compact_rankings` writes a folded log as a new table, to be swapped in by its path.
 """
 
 from __future__ import annotations
@@ -15,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillstream.schemas import MONEY
+from tillstream.schemas import TOTAL
 
 PARTITION = "window_date"
 
@@ -26,7 +25,7 @@ def ranking_rows(ranked: DataFrame, updated_at: Column | None = None,
     names = [c for c in ("city", "salesman_name", "country") if c in ranked.columns]
     return ranked.select(
         "window_start", "window_end", *names,
-        F.col("total_sales").cast(MONEY).alias("total_sales"),
+        F.col("total_sales").cast(TOTAL).alias("total_sales"),
         F.col("transaction_count").cast("bigint").alias("transaction_count"),
         F.col("rank").cast("int").alias("rank"),
         F.date_trunc("second", F.current_timestamp() if updated_at is None else updated_at)
@@ -43,29 +42,26 @@ def append_rankings(rows: DataFrame, path: str) -> None:
 
 
 def replace_rankings(rows: DataFrame, path: str) -> None:
-    """Swap in the windows present in `rows` as a whole; all other windows stay.
+    """Restate the windows present in `rows` as a whole; all other windows stay.
 
-    Writing the same rows again changes nothing. The dates of those windows are rewritten: a
-    date holds a few windows of a few rows, and only its partition is read for that. The dates
-    are all that passes through the driver. The swap of a partition on commit is not atomic: do
-    not stop the driver in it, and let no other writer at the table.
+    The rows are appended, in one commit, as a version above all others of their dates; reads
+    through `serve.latest_windows` see either the old rows or the new ones. Only the versions of
+    those dates are read, and their maximum is all that passes through the driver.
     """
-    rows = rows.persist()
-    try:
-        dates = [row[0] for row in rows.select(PARTITION).distinct().collect()]
-        if not dates:
-            return
-        kept = _existing(rows.sparkSession, path, rows.schema)
-        if kept is not None:
-            kept = kept.where(F.col(PARTITION).isin(dates)).join(
-                rows.select("window_start").distinct(), "window_start", "left_anti")
-            rows_out = rows.unionByName(kept)
-        else:
-            rows_out = rows
-        (rows_out.repartition(PARTITION).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION).parquet(path))
-    finally:
-        rows.unpersist()
+    table = _existing(rows.sparkSession, path, rows.schema)
+    if table is not None:
+        newest = table.join(rows.select(PARTITION).distinct(), PARTITION, "left_semi").agg(
+            F.max("updated_at").alias("updated_at"), F.max("batch_id").alias("batch_id")).first()
+        if newest["updated_at"] is not None:
+            rows = rows.withColumns({
+                "updated_at": F.greatest("updated_at", F.lit(newest["updated_at"])),
+                "batch_id": F.lit(newest["batch_id"] + 1).cast("bigint")})
+    append_rankings(rows, path)
+
+
+def compact_rankings(log: DataFrame, path: str) -> None:
+    """Write what reads see of a ranking log (already folded) as a new table, one file per date."""
+    log.repartition(PARTITION).write.partitionBy(PARTITION).parquet(path)
 
 
 def _existing(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:

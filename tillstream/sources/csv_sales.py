@@ -1,73 +1,82 @@
-"""CSV sales files: a header row, plain commas, no quoting, every value a trimmed string."""
+"""CSV sales files: a header row, plain commas, no quoting, every value a trimmed string.
+
+In both readers a value missing at the end of a line is NULL and an empty one is ''.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillstream import constants as C
 from tillstream.schemas import CSV_SALE
 
+# No text has it, so a line stays whole.
+_NEVER = "\x01"
+# What trimming takes off: control characters and the blank.
+_TRIMMED = "".join(map(chr, range(0x21)))
+
+
+def _lines(spark: SparkSession, column: str, streaming: bool,
+           options: dict[str, str] | None):
+    reader = spark.readStream if streaming else spark.read
+    return (
+        reader.schema(T.StructType([T.StructField(column, T.StringType())]))
+        .options(sep=_NEVER, quote="", recursiveFileLookup=True, pathGlobFilter="*.csv")
+        .options(**(options or {}))
+    )
+
 
 def read_csv_sales(spark: SparkSession, path: str, *, streaming: bool = False,
                    options: dict[str, str] | None = None) -> DataFrame:
     """All `.csv` files below a folder, for files in the usual column order.
 
     A stream takes each file once; its checkpoint remembers which, and commits a file as a
-    whole. Columns are bound by position, so the headers are checked: a file with other or
-    reordered columns fails the read. `read_csv_sales_by_name` reads such files.
+    whole. Columns are bound by position, so the headers are checked: a file with another header
+    fails the read. `read_csv_sales_by_name` reads such files. Large files are split.
     """
-    reader = spark.readStream if streaming else spark.read
-    return (
-        reader.schema(CSV_SALE)
-        .options(
-            header=True, enforceSchema=False, quote="", recursiveFileLookup=True,
-            pathGlobFilter="*.csv", ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True,
-        )
-        .options(**(options or {}))
-        .csv(path)
-    )
+    header = ",".join(C.CSV_COLUMNS)
+    lines = _lines(spark, header, streaming, options).options(
+        header=True, enforceSchema=False).csv(path)
+    cells = lines.select(F.split(F.col(f"`{header}`"), ",", -1).alias("cells"),
+                         F.col(f"`{header}`").alias("line"))
+    return cells.where(~F.col("line").rlike(r"^\s*\z")).select(
+        *[_trimmed(F.get("cells", F.lit(i))).alias(name) for i, name in enumerate(C.CSV_COLUMNS)])
 
 
-def read_csv_sales_by_name(spark: SparkSession, path: str) -> DataFrame:
-    """The same files with columns bound by each file's own header, in any order.
+def read_csv_sales_by_name(spark: SparkSession, path: str, *, streaming: bool = False,
+                           options: dict[str, str] | None = None) -> DataFrame:
+    """The same files with columns bound by each file's own header, in any order, batch or stream.
 
-    Blank lines are skipped, missing trailing values are NULL, empty ones stay '', extra ones
-    are ignored; of repeated names the last that has a value counts. Headers are found in a
-    pass of their own and joined to the lines by file; how is left to the optimizer, which
-    knows the size of the headers by then and splits the lines of an oversized file.
+    Blank lines are skipped, extra values are ignored; of repeated names the last that has a value
+    counts. One pass and no shuffle: a file is read by one task, in order (`multiLine` keeps it
+    whole), so its first line is at hand for all that follow.
     """
-    lines = (
-        spark.read.options(recursiveFileLookup=True, pathGlobFilter="*.csv").text(path)
-        .select(
-            "value",
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("line"),
-        )
-    )
-    # Lines of one block are read in order by one task, so its lowest line id is its first line.
-    headers = (
-        lines.where(F.col("block") == 0)
-        .groupBy("file")
-        .agg(F.min_by("value", "line").alias("header"), F.min("line").alias("header_line"))
-    )
-    body = (
-        lines.join(headers, "file")
-        .where((F.col("block") != 0) | (F.col("line") != F.col("header_line")))
-        .where(~F.col("value").rlike(r"^\s*\z"))
-        .select(F.split("value", ",", -1).alias("cells"), F.split("header", ",", -1).alias("names"))
-        .select("cells", F.transform("names", _trimmed).alias("names"))
-        .select("cells", F.reverse(F.slice("names", 1, F.size("cells"))).alias("names_back"))
-    )
-    return body.select(*[_cell(name).alias(name) for name in C.CSV_COLUMNS])
+    lines = (_lines(spark, "value", streaming, options).option("multiLine", True).csv(path)
+             .select("value", F.col("_metadata.file_path").alias("file")))
+    return lines.mapInArrow(_bind, CSV_SALE)
 
 
-def _trimmed(text: Column) -> Column:
-    return F.regexp_replace(text, r"^[\x00-\x20]+|[\x00-\x20]+\z", "")
+def _bind(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    file, names = None, []
+    for batch in batches:
+        columns: dict[str, list[str | None]] = {name: [] for name in CSV_SALE.names}
+        for line, path in zip(batch.column("value").to_pylist(), batch.column("file").to_pylist(),
+                              strict=True):
+            if path != file:
+                file, names = path, [name.strip(_TRIMMED) for name in (line or "").split(",")]
+            elif line and not line.isspace():
+                row = {name: cell.strip(_TRIMMED)
+                       for name, cell in zip(names, line.split(","), strict=False)}
+                for name, cells in columns.items():
+                    cells.append(row.get(name))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(cells, pa.string()) for cells in columns.values()], list(columns))
 
 
-def _cell(name: str) -> Column:
-    back = F.array_position("names_back", name)
-    position = F.size("names_back") - back.cast("int") + 1
-    return _trimmed(F.when(back > 0, F.get("cells", position - 1)))
+def _trimmed(text: Column) -> Column:
+    return F.regexp_replace(text, r"^[\x00-\x20]+|[\x00-\x20]+\z", "")

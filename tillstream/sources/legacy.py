@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillstream import constants as C
 from tillstream.schemas import LEGACY_SALE
+from tillstream.sources.relational import load_mark, save_mark
 
 ROW_TAG = "sales"
 
@@ -21,3 +25,19 @@ def read_legacy_sales(spark: SparkSession, path: str, since_ms: int | None = Non
 def legacy_records(sales: DataFrame) -> DataFrame:
     """JSON-ready columns of a legacy sale."""
     return sales.select(*LEGACY_SALE.names, F.lit("legacy").alias("source"))
+
+
+def poll_legacy(spark: SparkSession, path: str, marks: str, send: Callable[[DataFrame], None],
+                now_ms: int, producer: str = C.LEGACY_PRODUCER) -> int:
+    """Send the sales after the saved time, then set it to `now_ms`. Returns the time.
+
+    Without a saved time the last five minutes are sent. The time moves only if there were sales and
+    `send` has returned for all of them.
+    """
+    since = load_mark(spark, marks, producer, now_ms - C.LEGACY_LOOKBACK_MS)
+    sales = read_legacy_sales(spark, path, since)
+    if sales.isEmpty():
+        return since
+    send(legacy_records(sales))
+    save_mark(spark, marks, now_ms, producer)
+    return now_ms

@@ -5,21 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tillstream import constants as C
 from tillstream.functions.times import iso_instant
 from tillstream.schemas import RELATIONAL_MARK
+from tillstream.session import remove
 
 
 def scan_since(table: DataFrame, mark: int, key: str = "id",
-               page: int | None = C.PAGE_SIZE) -> DataFrame:
-    """Rows above the mark: the next page by key, or all of them with `page=None`.
+               page: int | None = None) -> DataFrame:
+    """All rows above the mark, in one partitioned job; with a `page`, the next so many by key.
 
-    The filter reaches the scan, for files and for JDBC. A page is planned as a distributed
-    top-k. To catch up on a large backlog use `page=None`: one partitioned job instead of a
-    page per run.
+    The filter reaches the scan, for files and for JDBC. A page is planned as a distributed top-k.
     """
     rows = table.where(F.col(key) > mark)
     return rows if page is None else rows.orderBy(key).limit(page)
@@ -51,31 +50,41 @@ def _json_ready(name: str) -> Column:
     return F.col(name)
 
 
-def load_mark(spark: SparkSession, path: str, producer: str = C.RELATIONAL_PRODUCER) -> int:
-    """Saved mark of one producer, 0 if there is none yet."""
+def load_mark(spark: SparkSession, path: str, producer: str = C.RELATIONAL_PRODUCER,
+              default: int = 0) -> int:
+    """Saved mark of one producer, `default` if there is none yet."""
+    newest = _newest_mark(spark, path, producer)
+    return default if newest is None else newest["offset_value"]
+
+
+def _newest_mark(spark: SparkSession, path: str, producer: str) -> Row | None:
     try:
         marks = spark.read.schema(RELATIONAL_MARK).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return 0
-    row = (
-        marks.where(F.col("producer_id") == producer)
-        .agg(F.max("offset_value").alias("mark")).first()
-    )
-    return row.mark or 0
+        return None
+    return (marks.where(F.col("producer_id") == producer)
+            .orderBy(F.desc("version")).limit(1).first())
 
 
 def save_mark(spark: SparkSession, path: str, mark: int,
               producer: str = C.RELATIONAL_PRODUCER) -> None:
-    """Set the mark of one producer; the others keep theirs."""
+    """Set the mark of one producer; the others keep theirs.
+
+    A mark is a new version, added by one commit; the one before stays readable until it is there.
+    Versions before that one are removed afterwards.
+    """
+    newest = _newest_mark(spark, path, producer)
+    version = 1 if newest is None else newest["version"] + 1
     row = spark.range(1).select(
         F.lit(mark).cast("bigint").alias("offset_value"),
         F.current_timestamp().alias("updated_at"),
-        F.lit(producer).alias("producer_id"),
+        F.lit(producer).alias("producer_id"), F.lit(version).cast("bigint").alias("version"),
     )
-    (row.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("producer_id").parquet(path))
+    row.write.mode("append").partitionBy("producer_id", "version").parquet(path)
+    if version > 2:
+        remove(spark, f"{path}/producer_id={producer}/version={version - 2}")
 
 
 def advance_mark(rows: DataFrame, mark: int, key: str = "id") -> DataFrame:
@@ -87,18 +96,20 @@ def advance_mark(rows: DataFrame, mark: int, key: str = "id") -> DataFrame:
 
 def poll(spark: SparkSession, table: DataFrame, marks: str,
          send: Callable[[DataFrame], None], *, key: str = "id",
-         producer: str = C.RELATIONAL_PRODUCER, page: int | None = C.PAGE_SIZE) -> int:
+         producer: str = C.RELATIONAL_PRODUCER, page: int | None = None) -> int:
     """Send the rows above the saved mark, then move the mark. Returns the mark.
 
-    `send` writes the rows in one job. Their highest key is observed during that job, so they
-    are read once; the mark moves only after the job has committed.
+    What is sent ends at the highest key found before, so rows that come in meanwhile wait for
+    the next poll. The mark moves only after `send` has returned. With a `page`, page after page
+    is sent until nothing is left. With nothing new, `send` is not called.
     """
     mark = load_mark(spark, marks, producer)
-    sent = Observation("sent")
-    rows = scan_since(table, mark, key, page).observe(
-        sent, F.max(key).alias("highest"), F.count(F.lit(1)).alias("rows"))
-    send(rows)
-    if sent.get["rows"]:
-        mark = max(mark, sent.get["highest"])
+    while True:
+        highest = scan_since(table, mark, key, page).agg(F.max(key)).first()[0]
+        if highest is None:
+            return mark
+        send(scan_since(table, mark, key).where(F.col(key) <= highest))
+        mark = highest
         save_mark(spark, marks, mark, producer)
-    return mark
+        if page is None:
+            return mark

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -10,7 +11,10 @@ from pyspark.sql import functions as F
 
 from tillstream import constants as C
 from tillstream.operators.aggregate import sales_by_window
-from tillstream.operators.normalize import filter_country, normalize_sales, unify_sources
+from tillstream.operators.normalize import (
+    filter_country, normalize_sales, quarantine, quarantine_unified, read_unified, unify_sources,
+    unplaceable_times,
+)
 from tillstream.operators.rank import top_n_per_window
 from tillstream.sinks.rankings import append_rankings, ranking_rows
 from tillstream.sinks.topic import stream_topic, unified_records
@@ -19,12 +23,38 @@ from tillstream.sinks.topic import stream_topic, unified_records
 def normalization_job(topics: Mapping[str, DataFrame], out: str, checkpoint: str, *,
                       fmt: str = "kafka", options: dict[str, str] | None = None,
                       now_ms: Column | None = None) -> DataStreamWriter:
-    """Source topics, by source name, to the unified topic. Narrow from end to end."""
+    """Source topics, by source name, to the unified topic. Narrow from end to end.
+
+    Data-quality counters and the number of malformed records are in the progress, as
+    `quality_<source>` and `quality_<source>_read`. `quarantine_job` takes the malformed records
+    themselves; a deployment starts both.
+    """
     events = unify_sources(*[
-        normalize_sales(records, source, now_ms=now_ms) for source, records in topics.items()])
+        normalize_sales(records, source, now_ms=now_ms, quality=f"quality_{source}")
+        for source, records in topics.items()])
     return stream_topic(unified_records(events), out, checkpoint, fmt=fmt, options=options)
 
 
+def quarantine_job(topics: Mapping[str, DataFrame], out: str, checkpoint: str) -> DataStreamWriter:
+    """The malformed records of the source topics, with their source, to a parquet folder."""
+    parts = [quarantine(records).select(F.lit(source).alias("source"), "value")
+             for source, records in topics.items()]
+    return _aside(reduce(DataFrame.unionByName, parts), out, checkpoint)
+
+
+def ranking_quarantine_job(records: DataFrame, out: str, checkpoint: str) -> DataStreamWriter:
+    """Records of the unified topic that the ranking jobs can't use, with the reason."""
+    unread = quarantine_unified(records).select(F.lit("unreadable").alias("reason"), "value")
+    timeless = unified_records(unplaceable_times(read_unified(records))).select(
+        F.lit("unplaceable").alias("reason"), "value")
+    return _aside(unread.unionByName(timeless), out, checkpoint)
+
+
+def _aside(rows: DataFrame, out: str, checkpoint: str) -> DataStreamWriter:
+    return (rows.writeStream.format("parquet").outputMode("append")
+            .option("checkpointLocation", checkpoint).option("path", out))
+
+
 def windowed_totals(sales: DataFrame, key: str, length: str = C.WINDOW_LENGTH,
                     out_of_order: str = C.OUT_OF_ORDERNESS,
                     country: str | None = None) -> DataFrame:
@@ -53,8 +83,8 @@ def ranking_job(sales: DataFrame, key: str, path: str, checkpoint: str, *,
     `sales` streams `event_time`, `amount` and the key. All totals of a window leave the
     aggregation in one micro-batch, which ranks them and writes them in one job. Late rows
     never reach it. A micro-batch that runs twice appends a second version of its windows,
-    which reads through `latest_by_key` fold away; with `write=replace_rankings` the windows
-    are swapped in place instead.
+    which reads through `latest_windows` fold away; `write=replace_rankings` also puts that version
+    above all that other jobs wrote.
     """
     totals = windowed_totals(sales, key, length, country=country)
     return (

@@ -1,29 +1,60 @@
-"""Metric samples of a running stream, for the operators on metrics."""
+"""Metric samples of running streams, for the operators on metrics."""
 
 from __future__ import annotations
 
+import json
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from tillstream.schemas import METRIC_SAMPLE
 
 
+def _samples(progress: dict) -> list[tuple[datetime, str, float]]:
+    at = datetime.fromisoformat(progress["timestamp"].replace("Z", "+00:00"))
+    values = {
+        "input_rows": progress.get("numInputRows"),
+        "input_rows_per_second": progress.get("inputRowsPerSecond"),
+        "processed_rows_per_second": progress.get("processedRowsPerSecond"),
+        "batch_ms": progress.get("durationMs", {}).get("triggerExecution"),
+        "commit_ms": progress.get("durationMs", {}).get("commitOffsets"),
+        "rows_dropped_late": sum(
+            state.get("numRowsDroppedByWatermark", 0)
+            for state in progress.get("stateOperators", [])),
+    }
+    return [(at, name, float(value)) for name, value in values.items() if value is not None]
+
+
 def progress_samples(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """`(ts, series, value)` of the recent micro-batches Spark keeps of a query (100 at most)."""
-    rows = []
-    for progress in query.recentProgress:
-        at = datetime.fromisoformat(progress["timestamp"].replace("Z", "+00:00"))
-        values = {
-            "input_rows": progress.get("numInputRows"),
-            "input_rows_per_second": progress.get("inputRowsPerSecond"),
-            "processed_rows_per_second": progress.get("processedRowsPerSecond"),
-            "batch_ms": progress.get("durationMs", {}).get("triggerExecution"),
-            "commit_ms": progress.get("durationMs", {}).get("commitOffsets"),
-            "rows_dropped_late": sum(
-                state.get("numRowsDroppedByWatermark", 0)
-                for state in progress.get("stateOperators", [])),
-        }
-        rows += [(at, name, float(value)) for name, value in values.items() if value is not None]
+    """`(ts, series, value)` of the micro-batches that Spark still keeps of a query (100 at most).
+
+    A look at a query; `ProgressLog` records every micro-batch.
+    """
+    rows = [sample for progress in query.recentProgress for sample in _samples(progress)]
     return spark.createDataFrame(rows, METRIC_SAMPLE)
+
+
+class ProgressLog(StreamingQueryListener):
+    """Appends the samples of every micro-batch of every query to a parquet folder.
+
+    Give it to `spark.streams.addListener`.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        rows = _samples(json.loads(event.progress.json))
+        (self.spark.createDataFrame(rows, METRIC_SAMPLE).coalesce(1)
+         .write.mode("append").parquet(self.path))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
