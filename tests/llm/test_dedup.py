@@ -180,10 +180,10 @@ def _removed(rows, window):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("hot", [1000, 3, 0])
+@pytest.mark.parametrize("hot", [20_000, 3, 1])
 @pytest.mark.parametrize("window", [5, 9])
 def test_substrings_equal_brute_force(spark, window, hot, monkeypatch):
-    monkeypatch.setattr(substrings, "HOT_RUNS", hot)
+    monkeypatch.setattr(substrings, "BUCKET_RUNS", hot)
     random = np.random.default_rng(window)
     passage = " ".join(f"p{i}" for i in range(14))
     rows = []

@@ -5,13 +5,16 @@ document. A window whose word sequence also starts in a document with a smaller
 its words, in the document with the larger one.
 
 1. A window's minimiser is the least hash among its sequences of `MINIMISER_WORDS` words. Runs of
-   consecutive windows with one minimiser are noted by place only.
-2. Minimisers that occur in one document alone can't belong to a repeated window. The runs of the
-   others travel: each as one packed string of its words, to the bucket of its minimiser.
-3. A bucket numbers its words and sorts its windows by rank doubling (ranks of 1, 2, 4 ... words),
+   consecutive windows with one minimiser are noted by place and a digest of their words.
+2. Minimisers that occur in one document alone can't belong to a repeated window; they go no further.
+   Of equal runs only the one with the least doc_id does; the others lose all their words. Both
+   are told by minima that are partly taken before the shuffle, so copies cost little.
+3. What is left, if its minimiser has several different runs, travels: each run as one packed string
+   of its words, to the bucket of its minimiser.
+4. A bucket numbers its words and sorts its windows by rank doubling (ranks of 1, 2, 4 ... words),
    which compares the words themselves. Each window is judged against its least doc_id.
-4. A minimiser with more than `HOT_RUNS` runs would fill a bucket. Its windows are counted singly,
-   by 128-bit digests, with a minimum that is partly taken before the shuffle.
+5. A minimiser with more than `BUCKET_RUNS` different runs would outgrow a bucket's memory. Its
+   windows are counted singly, by 128-bit digests and again with a minimum before the shuffle.
 
 Null text: no words. Documents of fewer words than a window keep all. Rows that repeat a doc_id
 don't count against each other. A row whose doc_id is null keeps all and counts against none.
@@ -34,7 +37,7 @@ from tillstream.llm.common import arrow_map, as_bytes, slices, stored, text_key
 
 WINDOW_WORDS = 50
 MINIMISER_WORDS = 8
-HOT_RUNS = 1000
+BUCKET_RUNS = 20_000
 BUCKET_WORDS = 1 << 20
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -66,9 +69,8 @@ def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[:-rest], values[rest:]) if rest else values
 
 
-def runs_of(texts: list[bytes], window: int) -> tuple[np.ndarray, ...]:
+def runs_of(words: list[list[bytes]], window: int) -> tuple[np.ndarray, ...]:
     """(text, first window, windows, minimiser) of the runs of one minimiser in each text."""
-    words = [text.split() for text in texts]
     sizes = np.array([len(w) for w in words], np.int64)
     total = int(sizes.sum())
     none = np.zeros(0, np.int64)
@@ -83,7 +85,7 @@ def runs_of(texts: list[bytes], window: int) -> tuple[np.ndarray, ...]:
     mers = (mers ^ (mers >> np.uint64(31))) * _MIXER
     mers ^= mers >> np.uint64(29)
     least = _sliding_min(mers, window - few + 1)
-    owner = np.repeat(np.arange(len(texts)), sizes)
+    owner = np.repeat(np.arange(len(words)), sizes)
     first = np.cumsum(sizes) - sizes
     whole = owner[:total - window + 1] == owner[window - 1:]
     at = np.flatnonzero(whole)
@@ -98,18 +100,33 @@ def runs_of(texts: list[bytes], window: int) -> tuple[np.ndarray, ...]:
             least[place].view(np.int64))
 
 
+def _digests_of(words: list[list[bytes]], text: np.ndarray, start: np.ndarray,
+                end: np.ndarray) -> np.ndarray:
+    """Digest of the words from start to end in each text; runs come text by text."""
+    out, now, joined, ends = np.zeros(len(text), np.uint64), -1, b"", np.zeros(0, np.int64)
+    digest = xxhash.xxh3_64_intdigest
+    for k, (t, a, b) in enumerate(zip(text.tolist(), start.tolist(), end.tolist(), strict=True)):
+        if t != now:
+            now, joined = t, b" ".join(words[t])
+            ends = np.cumsum(np.fromiter(map(len, words[t]), np.int64, len(words[t])) + 1) - 1
+        out[k] = digest(joined[ends[a - 1] + 1 if a else 0:ends[b - 1]])
+    return out.view(np.int64)
+
+
 def _runs(documents: DataFrame, window: int) -> DataFrame:
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            text, start, windows, minimiser = runs_of(as_bytes(batch), window)
+            words = [text.split() for text in as_bytes(batch)]
+            text, start, windows, minimiser = runs_of(words, window)
+            digest = _digests_of(words, text, start, start + windows + window - 1)
             rows = batch.select(["doc_id", "text_key"]).take(pa.array(text))
             yield pa.RecordBatch.from_arrays(
                 [*rows.columns, pa.array(start.astype(np.int32)),
-                 pa.array(windows.astype(np.int32)), pa.array(minimiser)],
-                ["doc_id", "text_key", "start", "windows", "minimiser"])
+                 pa.array(windows.astype(np.int32)), pa.array(minimiser), pa.array(digest)],
+                ["doc_id", "text_key", "start", "windows", "minimiser", "digest"])
 
     return arrow_map(documents, found,
-                     f"{_KEYS}, start int, windows int, minimiser bigint")
+                     f"{_KEYS}, start int, windows int, minimiser bigint, digest bigint")
 
 
 def _packed(documents: DataFrame, window: int) -> DataFrame:
@@ -263,14 +280,19 @@ def find_repeats(documents: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
     """(doc_id, text_key, repeats): runs (start, windows) of each document's repeated windows."""
     named = _named(documents)
     runs = stored(_runs(named, window), "runs")
-    shared = (runs.groupBy("minimiser")
-              .agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"),
-                   F.count("*").alias("times"))
-              .where("least != most")
-              .select("minimiser", (F.col("times") > HOT_RUNS).alias("hot")))
-    wanted = stored(
-        runs.join(shared, "minimiser").groupBy("doc_id", "text_key", "hot").agg(
-            F.collect_set(F.struct("start", "windows", "minimiser")).alias("runs")), "wanted")
+    distinct = runs.groupBy("minimiser", "digest").agg(
+        F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"))
+    shared = (distinct.groupBy("minimiser")
+              .agg(F.min("first_doc").alias("least"), F.max("last_doc").alias("most"),
+                   F.count("*").alias("different"))
+              .where("least != most").select("minimiser", "different"))
+    judged = stored(
+        runs.join(distinct.join(shared, "minimiser").drop("last_doc"), ["minimiser", "digest"])
+        .where("different > 1 or doc_id > first_doc"), "judged-runs")
+    copies = judged.where("doc_id > first_doc").select("doc_id", "text_key", "start", "windows")
+    wanted = judged.where("doc_id = first_doc").groupBy(
+        "doc_id", "text_key", (F.col("different") > BUCKET_RUNS).alias("hot")).agg(
+        F.collect_set(F.struct("start", "windows", "minimiser")).alias("runs"))
 
     def of(hot: bool) -> DataFrame:
         return named.join(wanted.where(F.col("hot") == hot).drop("hot"), ["doc_id", "text_key"])
@@ -282,7 +304,7 @@ def find_repeats(documents: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
     first = digests.groupBy("high", "low").agg(F.min("doc_id").alias("first_doc"))
     singly = (digests.join(first, ["high", "low"]).where("doc_id > first_doc")
               .select("doc_id", "text_key", "start", F.lit(1).alias("windows")))
-    return (in_buckets.unionByName(singly).groupBy("doc_id", "text_key")
+    return (copies.unionByName(in_buckets).unionByName(singly).groupBy("doc_id", "text_key")
             .agg(F.collect_set(F.struct("start", "windows")).alias("repeats")))
 
 
