@@ -88,18 +88,20 @@ def double_needs_kind(text: Column) -> Column:
     return text == "true"
 
 
-def double_of(text: Column, kind: Column) -> Column:
-    """Number as double, text parsed as double, true as 1.0; 0.0 for all else."""
+def double_of(text: Column, kind: Column, number: Column) -> Column:
+    """Number as double, text parsed as double, true as 1.0; 0.0 for all else.
+
+    `number` is the text cast to double, worked out once by the caller.
+    """
     return F.when(double_needs_kind(text) & (kind == "BOOLEAN"), F.lit(1.0)).otherwise(
-        text_to_double(text))
+        text_to_double(text, number))
 
 
-def text_to_double(text: Column) -> Column:
+def text_to_double(text: Column, number: Column) -> Column:
     """Text parsed as double, 0.0 where that fails.
 
     Special values must be spelled `NaN` or `Infinity`, with an optional sign.
     """
-    number = text.try_cast("double")
     # Zero for finite numbers alone, so only the rest pays for the look at the text.
     finite = number - number == 0.0
     return (

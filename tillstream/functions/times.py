@@ -40,7 +40,8 @@ def iso_to_ms(text: Column) -> Column:
     return F.unix_millis(F.try_to_timestamp(F.when(text.rlike(_ISO), F.upper(text))))
 
 
-def _integer(text: Column) -> Column:
+def integer_of(text: Column) -> Column:
+    """Integer text as a number; NULL for any other, and beyond 64 bits."""
     return F.when(text.rlike(_INTEGER), text).try_cast("bigint")
 
 
@@ -48,7 +49,7 @@ def text_to_ms(text: Column) -> Column:
     """Integer text as ms (no unit inference), ISO instant, or ISO local time as UTC; else NULL."""
     return (
         F.when(text.rlike(_ISO), iso_to_ms(text))
-        .otherwise(_integer(text))
+        .otherwise(integer_of(text))
     )
 
 
@@ -57,28 +58,30 @@ def _same_in_any_unit(number: Column) -> Column:
     return F.coalesce(infer_epoch_ms(number) == number, F.lit(False))
 
 
-def time_needs_kind(text: Column, iso_ms: Column) -> Column:
+def time_needs_kind(text: Column, iso_ms: Column, number: Column) -> Column:
     """True where a JSON string and another value with this raw text give different times.
 
-    `iso_ms` is `iso_to_ms(text)`, worked out once by the caller.
+    `iso_ms` is `iso_to_ms(text)`, and `number` is `integer_of(text)` where that is NULL; both are
+    worked out once by the caller.
     """
     other = (
-        (text.rlike(_INTEGER) & ~_same_in_any_unit(_integer(text)))
+        (number.isNotNull() & ~_same_in_any_unit(number))
         | text.isin("true", "false") | is_fractional(text))
     return F.when(iso_ms.isNull(), other).otherwise(F.lit(False))
 
 
-def event_time_or_null(text: Column, kind: Column, iso_ms: Column) -> Column:
+def event_time_or_null(text: Column, kind: Column, iso_ms: Column, number: Column) -> Column:
     """Event time in ms of one raw value, NULL when absent or not understood.
 
+    `iso_ms` and `number` are as in `time_needs_kind`.
+
     The value is already that of the first alias present, so a bad one does not fall through
     to the next alias. Integers get their unit inferred, integer texts are ms as they are,
     fractions are cut off, true is 1.
     """
-    number = _integer(text)
     return (
         F.when(iso_ms.isNotNull(), iso_ms)
-        .when(text.rlike(_INTEGER), F.when(_same_in_any_unit(number), number)
+        .when(number.isNotNull(), F.when(_same_in_any_unit(number), number)
               .when(kind == "BIGINT", infer_epoch_ms(number))
               .when(kind == "STRING", number))
         .when(is_fractional(text) & (kind != "STRING"),

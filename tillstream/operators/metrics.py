@@ -157,7 +157,8 @@ def sustained_breaches(samples: DataFrame, series: Sequence[str] | str, bound: f
     duration runs from the first to the last sample above the bound.
 
     Runs are first found within slices of time. Only the first and last run of a slice can
-    continue elsewhere; those few rows alone, two per slice at most, are merged per series.
+    continue elsewhere. So a slice becomes one row, with those two and the inner runs that last long
+    enough, and only these rows are put in order per series. The samples are read once.
     """
     by = _columns(series)
     tie = F.col(seq) if seq else F.lit(0)
@@ -172,38 +173,52 @@ def sustained_breaches(samples: DataFrame, series: Sequence[str] | str, bound: f
     changed = (F.col("above") != F.lag("above").over(in_order)).cast("bigint")
     run = F.sum(F.coalesce(changed, F.lit(0))).over(
         in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    found = F.struct("run", "above", "start", "end", "samples")
+    lasted = (F.unix_micros("end") - F.unix_micros("start")) / _MICROS
     runs = (
         sliced.withColumn("run", run)
         .groupBy(*by, "slice", "run")
         .agg(F.first("above").alias("above"), F.min("at").alias("start"),
              F.max("at").alias("end"), F.count(F.lit(1)).alias("samples"))
-        .withColumn("opens", F.col("run") == 0)
-        .withColumn("closes", F.col("run") == F.max("run").over(group))
+        .withColumn("last_run", F.max("run").over(group))
+        .withColumn("inner", F.col("run").between(1, F.col("last_run") - 1))
+    )
+    slices = runs.groupBy(*by, "slice").agg(
+        F.first("last_run").alias("last_run"),
+        F.min_by(found, "run").alias("opening"), F.max_by(found, "run").alias("closing"),
+        F.collect_list(F.when(F.col("inner") & F.col("above") & (lasted >= min_seconds), found))
+        .alias("inner"))
+
+    # The opening run goes on from the slice before if both are above. Stretches are numbered;
+    # a closing run that isn't also the opening one begins a new one.
+    in_time = Window.partitionBy(*by).orderBy("slice")
+    continues = F.col("opening.above") & F.coalesce(F.lag("closing.above").over(in_time), F.lit(False))
+    two = (F.col("last_run") > 0).cast("bigint")
+    numbered = (
+        slices.withColumn("begun", F.when(continues, two).otherwise(two + 1))
+        .withColumn("stretch", F.sum("begun").over(
+            in_time.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     )
-    edge = F.col("opens") | F.col("closes")
-    inner = runs.where(~edge & F.col("above")).select(*by, "start", "end", "samples")
-
-    # A run goes on in the next slice if it ends its own and the next slice opens above too.
-    edges_in_order = Window.partitionBy(*by).orderBy("slice", "run")
-    continues = F.col("opens") & F.coalesce(F.lag("above").over(edges_in_order), F.lit(False))
-    stretch = F.count_if(~F.col("continues")).over(
-        edges_in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+
+    def entry(run: Column, stretch: Column, own: Column) -> Column:
+        return F.struct(stretch.alias("stretch"), own.alias("own"), run.alias("found"))
+
+    # An inner run is a stretch of its own, told by its place in its slice.
+    none = F.lit(None).cast("bigint")
+    opening = entry(F.col("opening"), F.col("stretch") - two, none)
+    closing = F.when(F.col("last_run") > 0, entry(F.col("closing"), F.col("stretch"), none))
+    inner = F.transform("inner", lambda one: entry(one, F.col("slice"), one["run"]))
     merged = (
-        runs.where(edge)
-        .withColumn("continues", continues)
-        .withColumn("stretch", stretch)
-        .where("above")
-        .groupBy(*by, "stretch")
-        .agg(F.min("start").alias("start"), F.max("end").alias("end"),
-             F.sum("samples").alias("samples"))
-        .drop("stretch")
+        numbered.select(*by, F.inline(F.concat(F.array(opening, closing), inner)))
+        .where("found.above")
+        .groupBy(*by, "stretch", "own")
+        .agg(F.min("found.start").alias("start"), F.max("found.end").alias("end"),
+             F.sum("found.samples").alias("samples"))
     )
-    lasted = (F.unix_micros("end") - F.unix_micros("start")) / _MICROS
     return (
-        inner.unionByName(merged)
-        .withColumn("duration_seconds", lasted)
+        merged.select(*by, F.col("start").alias("breach_start"), F.col("end").alias("breach_end"),
+                      "samples", lasted.alias("duration_seconds"))
         .where(F.col("duration_seconds") >= min_seconds)
-        .withColumnsRenamed({"start": "breach_start", "end": "breach_end"})
     )
 
 

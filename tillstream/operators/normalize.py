@@ -19,7 +19,7 @@ from tillstream.functions.fields import (
     string_needs_kind, string_of,
 )
 from tillstream.functions.times import (
-    current_ms, event_time_or_null, event_timestamp, iso_to_ms, time_needs_kind,
+    current_ms, event_time_or_null, event_timestamp, integer_of, iso_to_ms, time_needs_kind,
 )
 from tillstream.schemas import MONEY, UNIFIED_RECORD
 
@@ -101,9 +101,13 @@ def normalize_sales(records: DataFrame, source: str | None = None, value: str =
         *carry, F.col(value).alias("record"),
         *[first_present(F.col("json"), names).alias(name) for name, names in fields.items()])
     # Read as VARIANT only the records in which the JSON type of some value matters.
-    raw = raw.withColumn("iso_ms", iso_to_ms(F.col("event_time_ms")))
+    # Each value is looked at once, in columns of their own that later ones share.
+    raw = raw.withColumns({"iso_ms": iso_to_ms(F.col("event_time_ms")),
+                           "amount_number": F.col("amount").try_cast("double")})
+    raw = raw.withColumn("time_number", F.when(
+        F.col("iso_ms").isNull(), integer_of(F.col("event_time_ms"))))
     in_doubt = (
-        time_needs_kind(F.col("event_time_ms"), F.col("iso_ms"))
+        time_needs_kind(F.col("event_time_ms"), F.col("iso_ms"), F.col("time_number"))
         | double_needs_kind(F.col("amount")))
     for name in fields:
         if name not in ("amount", "event_time_ms"):
@@ -122,9 +126,9 @@ def normalize_sales(records: DataFrame, source: str | None = None, value: str =
     # As in `_with_json`: a filter on the events would otherwise take in the whole of this.
     values = typed.select(*carry, F.inline(F.array(F.struct(
         *[string(name) for name in _STRING_FIELDS],
-        double_of(F.col("amount"), kind("amount")).alias("amount"),
-        event_time_or_null(F.col("event_time_ms"), kind("event_time_ms"), F.col("iso_ms"))
-        .alias("parsed_ms"),
+        double_of(F.col("amount"), kind("amount"), F.col("amount_number")).alias("amount"),
+        event_time_or_null(F.col("event_time_ms"), kind("event_time_ms"), F.col("iso_ms"),
+                           F.col("time_number")).alias("parsed_ms"),
         (string("source") if source is None else F.lit(source)).alias("source"),
     ))))
     events = values.select(
