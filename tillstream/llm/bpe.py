@@ -2,7 +2,7 @@
 
 The last token of a prefix's encoding says all that matters for what follows: if the encoding of p
 ends in token t, the rest of it is the encoding of p without t; and t may follow a token u exactly
-if encoding u and t together leaves both whole. So the distinct words of a slice are put into a
+if no merge across their border comes before the merges that swallow its two sides. So the distinct words of a slice are put into a
 trie, which is walked depth first (words sorted by bytes are its preorder, the stack holds the path);
 each node gets its last token from the states above it, once for all words that share the prefix.
 
@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from pathlib import Path
@@ -31,10 +32,12 @@ from tillstream.llm.common import arrow_map, as_bytes, slices
 
 # Fixed values of the format: the pattern that cuts text into words, and white space as it sees it.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-WHITE_SPACE = "\t-\r \x85\xa0  -     　"
+WHITE_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
-KNOWN_RUNS = 300_000
+KNOWN_RUNS = 500_000
 KNOWN_PAIRS = 500_000
+# Words of more text share more prefixes.
+SLICE_BYTES = 6 << 20
 
 
 def _spelled_bytes() -> dict[str, int]:
@@ -66,6 +69,12 @@ class Trie:
         # Ends of tokens: a longer end of a prefix can only be a token if the shorter ones are ends.
         self.ends = {t[k:] for t in self.id_of for k in range(len(t))}
         self.pairs: dict[tuple[int | None, int], bool] = {}
+        # Of each token made by a merge: (order, left, right). Parts always come before the whole.
+        self.made = {whole: (order, *pair) for pair, (order, whole) in self.merge.items()}
+        if any(self.made.get(part, (-1,))[0] >= order
+               for order, *parts in self.made.values() for part in parts):
+            raise ValueError("a merge comes before one that makes its parts")
+        self.spines: dict[tuple[int, int], list[tuple[int, float]]] = {}
         self.runs: dict[str, bytes] = {}
         self.width = "<u2" if max(self.bytes_of) < 1 << 16 else "<u4"
         self.words = regex.compile(WORD_PATTERN)
@@ -87,19 +96,45 @@ class Trie:
             ids[k:k + 2] = [self.merge[ids[k], ids[k + 1]][1]]
         return ids
 
+    def spine(self, token: int, side: int) -> list[tuple[int, float]]:
+        """What stands at the token's left (1) or right (2) border while it is merged together, each
+        with the order of the merge that swallows it."""
+        known = self.spines.get((token, side))
+        if known is None:
+            known, part, swallowed = [], token, float("inf")
+            while True:
+                known.append((part, swallowed))
+                if part not in self.made:
+                    break
+                swallowed, part = self.made[part][0], self.made[part][side]
+            self.spines[token, side] = known
+        return known
+
     def may_follow(self, before: int | None, token: int) -> bool:
         """Whether the token stays whole after `before`; after None, whether it does alone."""
         key = before, token
         known = self.pairs.get(key)
         if known is None:
-            text = (b"" if before is None else self.bytes_of[before]) + self.bytes_of[token]
-            letters = [self.id_of[bytes([b])] for b in text]
-            wanted = [token] if before is None else [before, token]
+            if before is None:
+                letters = [self.id_of[bytes([b])] for b in self.bytes_of[token]]
+                known = self.merged(letters) == [token]
+            else:
+                known = self.may_follow(None, token) and not self._merges_across(before, token)
             if len(self.pairs) >= KNOWN_PAIRS:
                 self.pairs.clear()
-            known = self.pairs[key] = self.merged(letters) == wanted
+            self.pairs[key] = known
         return known
 
+    def _merges_across(self, before: int, token: int) -> bool:
+        get = self.merge.get
+        for left, left_until in self.spine(before, 2):
+            for right, right_until in self.spine(token, 1):
+                found = get((left, right))
+                # Of equal merges the leftmost comes first.
+                if found is not None and found[0] < left_until and found[0] <= right_until:
+                    return True
+        return False
+
     def encode_words(self, words: Iterable[bytes]) -> dict[bytes, list[int]]:
         """Ids of every distinct word, by one depth-first walk of their trie."""
         out, previous = {}, b""
@@ -156,10 +191,13 @@ class Trie:
             for content, number in self.special.items():
                 self.runs[content] = np.array([number], self.width).tobytes()
             missing = {r for runs in parted for r in runs if r not in self.runs}
-        cut = {r: [w.encode() for w in self.words.findall(r)] for r in missing}
+        # A run of letters, with a blank before it or not, is one word.
+        cut = {r: [r.encode()] if r.isalpha() or (r[0] == " " and r[1:].isalpha())
+               else [w.encode() for w in self.words.findall(r)] for r in missing}
         ids = self.encode_words({w for words in cut.values() for w in words})
+        kind = {"<u2": "H", "<u4": "I"}[self.width]
         for run, words in cut.items():
-            self.runs[run] = np.array([i for w in words for i in ids[w]], self.width).tobytes()
+            self.runs[run] = array(kind, [i for w in words for i in ids[w]]).tobytes()
         return [np.frombuffer(b"".join(map(self.runs.__getitem__, runs)), self.width)
                 for runs in parted]
 
@@ -180,7 +218,7 @@ def encode(documents: DataFrame, path: str) -> DataFrame:
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = trie(path)
-        for batch in slices(batches):
+        for batch in slices(batches, most=SLICE_BYTES):
             ids = coder.encode([t.decode() for t in as_bytes(batch)])
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), _lists(ids)],
                                              ["doc_id", "ids"])
