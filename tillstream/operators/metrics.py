@@ -1,9 +1,8 @@
 """Operators on metric samples `(series, ts, value)`.
 
 One series may hold any share of all samples, so no operator sorts the samples of a whole series.
-Samples are grouped by series and a slice of time; what crosses slices is handled by copying
-samples into the next slice (`counter_rate`) or by merging per-slice summaries, at most two rows
-an hour of a series (`sustained_breaches`). Samples of one series are ordered by `ts`, then by `seq` if given.
+Samples are grouped by series and a slice of time; what crosses slices is handled by one row per
+slice, and in `counter_rate` by narrow copies of the samples for the slice whose windows begin there. Samples of one series are ordered by `ts`, then by `seq` if given.
 """
 
 from __future__ import annotations
@@ -16,6 +15,8 @@ from pyspark.sql import functions as F
 from tillstream import constants as C
 
 _MICROS = 1_000_000
+# A second divides into so many whole slices.
+_SLICES = 16
 
 
 def _columns(names: Sequence[str] | str) -> list[str]:
@@ -27,6 +28,15 @@ def _slice_of(micros: Column, length: int) -> Column:
     return F.call_function("div", micros - F.pmod(micros, F.lit(length)), F.lit(length))
 
 
+def _step(before: Column, value: Column) -> Column:
+    """Increase from one sample to the next; a fall is a reset."""
+    return (
+        F.when(before.isNull(), value - value)
+        .when(value < before, value)
+        .otherwise(value - before)
+    )
+
+
 def counter_rate(samples: DataFrame, series: Sequence[str] | str, window_seconds: int,
                  ts: str = "ts", value: str = "value", seq: str | None = None) -> DataFrame:
     """Increase and per-second rate of a counter over a trailing window, at every sample.
@@ -36,58 +46,87 @@ def counter_rate(samples: DataFrame, series: Sequence[str] | str, window_seconds
     new value. The rate divides by the time between the first and last of them, without
     stretching to the window bounds, and is NULL with fewer than two distinct times.
 
-    Adds `increase` and `rate`; all other columns stay. One shuffle, of twice the samples:
-    slices are as long as the window, and each sample also goes to the next slice, so every
-    window lies within one group. Work per group is a few sorts and running sums, not a scan
-    of the window per sample.
+    Adds `increase` and `rate`; all other columns stay. A window is as long as `_SLICES` slices of
+    time, so it begins in the slice that lies so many before its end. A group is one slice with
+    the time and value of the samples of that other one, which each sample is copied to; what lies
+    between comes from one row per slice. One shuffle of the samples and their narrow copies.
     """
-    by = _columns(series)
+    # As a struct, a series without a name joins like any other.
+    by = ["key"]
     length = window_seconds * _MICROS
-    micros = F.unix_micros(F.col(ts))
-    placed = (
-        samples
-        .withColumn("at_us", micros)
-        .withColumn("own_slice", _slice_of(micros, length))
-        .withColumn("slice", F.explode(F.array("own_slice", F.col("own_slice") + 1)))
-    )
+    width = length // _SLICES
     tie = F.col(seq) if seq else F.lit(0)
-    group = Window.partitionBy(*by, "slice")
-    in_order = group.orderBy("at_us", tie)
-    before = F.lag(value).over(in_order)
-    step = (
-        F.when(before.isNull(), F.col(value) - F.col(value))
-        .when(F.col(value) < before, F.col(value))
-        .otherwise(F.col(value) - before)
-    )
-    running = (
-        placed.withColumn("step", step)
-        .withColumn("sum_here", F.sum("step").over(
-            in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-        .withColumn("sum_at", F.sum("step").over(
-            group.orderBy("at_us").rangeBetween(Window.unboundedPreceding, Window.currentRow)))
-    )
-    # Each sample of the slice asks, at the start of its window, for the first sample from
-    # there on. Walking back in time, that is the last sample passed before the question.
-    is_own = F.col("slice") == F.col("own_slice")
-    sample_mark = F.struct(
-        F.col("at_us").alias("walk_us"), F.lit(1).alias("is_sample"))
-    question_mark = F.struct(
-        (F.col("at_us") - length).alias("walk_us"), F.lit(0).alias("is_sample"))
-    marks = F.when(is_own, F.array(sample_mark, question_mark)).otherwise(F.array(sample_mark))
-    walked = running.withColumn("mark", F.explode(marks))
+    at = F.unix_micros(F.col(ts))
+    row = F.struct(*samples.columns)
+    placed = samples.select(
+        F.struct(*_columns(series)).alias("key"), F.col(value).alias("v"), at.alias("at_us"), tie.alias("tie"), F.explode(F.array(
+            F.struct(_slice_of(at, width).alias("slice"), F.lit(True).alias("is_own"),
+                     row.alias("row")),
+            F.struct((_slice_of(at, width) + _SLICES).alias("slice"), F.lit(False).alias("is_own"),
+                     F.when(F.lit(False), row).alias("row")))).alias("to"),
+    ).select(*by, "v", "at_us", "tie", "to.*")
+
+    # Running sums of the steps in each slice, 0 at its first sample.
+    part = Window.partitionBy(*by, "slice", "is_own")
+    in_order = part.orderBy("at_us", "tie")
+    summed = placed.withColumn("step", _step(F.lag("v").over(in_order), F.col("v"))).withColumns({
+        "sum_here": F.sum("step").over(
+            in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+        "sum_at": F.sum("step").over(
+            part.orderBy("at_us").rangeBetween(Window.unboundedPreceding, Window.currentRow))})
+
+    # Each sample asks, at the start of its window, for the first sample from there on. Walking
+    # back in time, that is the last copy passed before the question.
     back = (
-        group.orderBy(F.desc("mark.walk_us"), F.desc("mark.is_sample"), tie.desc())
+        Window.partitionBy(*by, "slice")
+        .orderBy(F.desc("walk_us"), F.asc("is_own"), F.desc("tie"))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    passed = F.when(F.col("mark.is_sample") == 1, F.struct("sum_here", "at_us"))
-    first = F.last(passed, ignorenulls=True).over(back)
-    elapsed = (F.col("at_us") - F.col("first.at_us")) / _MICROS
+    copy = F.when(~F.col("is_own"), F.struct("at_us", "sum_here"))
+    asked = (
+        summed.withColumn("walk_us", F.when(
+            F.col("is_own"), F.col("at_us") - length).otherwise(F.col("at_us")))
+        .withColumn("first", F.last(copy, ignorenulls=True).over(back))
+        .where("is_own")
+    )
+    asked = asked.join(_between_slices(summed.where("is_own"), by), [*by, "slice"])
+    # Without one, the window's first sample is the first of a later slice, its own at the latest.
+    found = F.col("first").isNotNull()
+    increase = F.col("sum_at") + F.when(
+        found, F.col("since_start") - F.col("first.sum_here")).otherwise(F.col("since_next"))
+    elapsed = (F.col("at_us") - F.when(found, F.col("first.at_us")).otherwise(F.col("next_us"))) / _MICROS
+    return asked.select(
+        "row.*", increase.alias("increase"),
+        F.when(elapsed > 0, increase.cast("double") / elapsed).alias("rate"))
+
+
+def _between_slices(own: DataFrame, by: list[str]) -> DataFrame:
+    """Per slice, up to its first sample: the increase since the first sample of the slice
+    `_SLICES` before (`since_start`), and since the first sample behind that slice (`since_next`),
+    which is at `next_us`.
+
+    Slices are put in order in stretches of `_SLICES`, each with a copy of the stretch before.
+    """
+    order = F.struct("at_us", "tie")
+    slices = own.groupBy(*by, "slice").agg(
+        F.min("at_us").alias("first_us"), F.min_by("v", order).alias("first_v"),
+        F.max_by("v", order).alias("last_v"), F.sum("step").alias("inner"))
+    stretch = _slice_of(F.col("slice"), _SLICES)
+    copied = slices.withColumn("stretch", F.explode(F.array(stretch, stretch + 1)))
+    in_time = Window.partitionBy(*by, "stretch").orderBy("slice")
+    gained = (F.coalesce(F.lag("inner").over(in_time), F.lit(0))
+              + F.coalesce(_step(F.lag("last_v").over(in_time), F.col("first_v")), F.lit(0)))
+    upto = copied.withColumn("gained", gained).withColumn("sum_first", F.sum("gained").over(
+        in_time.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     return (
-        walked.withColumn("first", first)
-        .where(F.col("mark.is_sample") == 0)
-        .withColumn("increase", F.col("sum_at") - F.col("first.sum_here"))
-        .withColumn("rate", F.when(elapsed > 0, F.col("increase").cast("double") / elapsed))
-        .select(*[F.col(c) for c in samples.columns], "increase", "rate")
+        upto.withColumns({
+            "start": F.first("sum_first").over(in_time.rangeBetween(-_SLICES, -_SLICES)),
+            "next": F.first(F.struct("first_us", "sum_first")).over(
+                in_time.rangeBetween(1 - _SLICES, 0))})
+        .where(F.col("stretch") == stretch)
+        .select(*by, "slice", (F.col("sum_first") - F.col("start")).alias("since_start"),
+                (F.col("sum_first") - F.col("next.sum_first")).alias("since_next"),
+                F.col("next.first_us").alias("next_us"))
     )
 
 
