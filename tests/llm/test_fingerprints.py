@@ -4,6 +4,7 @@ import hashlib
 
 import helpers
 import numpy as np
+import pytest
 
 from tillstream.llm import fingerprints, queries
 from tillstream.llm.common import read
@@ -29,6 +30,21 @@ def test_search_equals_brute_force(spark):
         assert len(got) == len(wanted) and set(got) == wanted
 
 
+@pytest.mark.parametrize("part", [3, 2048])
+@pytest.mark.parametrize("blocks", [4, 5])
+def test_counts_equal_brute_force(spark, blocks, part):
+    random = np.random.default_rng(blocks)
+    prints = {0, 1, 3, (1 << 128) - 1, (1 << 128) - 2, 1 << 127, 1 << 64, 1 << 63}
+    for _ in range(30):
+        one = int.from_bytes(random.bytes(16))
+        for flips in (0, 1, 1, 2, 3, 4):
+            prints.add(one ^ sum(1 << int(b) for b in random.choice(128, flips, replace=False)))
+    frame = spark.createDataFrame([(f"{p:032x}",) for p in prints] * 2, "fingerprint string")
+    got = dict(helpers.rows_of(fingerprints.count_within_radius(frame, 3, blocks, part)))
+    want = {f"{a:032x}": sum(0 < (a ^ b).bit_count() <= 3 for b in prints) for a in prints}
+    assert got == {k: n for k, n in want.items() if n}
+
+
 def test_hot_copies_cost_one_entry(spark):
     frame = spark.createDataFrame([("0" * 32,)] * 500, "fingerprint string")
     assert helpers.rows_of(fingerprints.within_radius(frame, frame)) == [("0" * 32, "0" * 32, 0)]
@@ -61,6 +77,10 @@ def test_whole_table_equals_brute_force(spark, sf_dir):
         other = fingerprints.simhash(following.encode())
         assert r.near_next == fingerprints.likeness(bytes.fromhex(own), other)
         assert r.near_edited == fingerprints.likeness(bytes.fromhex(own), bytes.fromhex(edited))
+    prints = {int(r.fingerprint, 16) for r in got}
+    for r in got[:50]:
+        mine = int(r.fingerprint, 16)
+        assert r.n_within_radius == sum(0 < (mine ^ p).bit_count() <= 3 for p in prints)
     assert np.mean([r.near_edited for r in got]) > np.mean([r.near_next for r in got]) + 0.15
 
 

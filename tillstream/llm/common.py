@@ -65,5 +65,46 @@ def as_bytes(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
     return [value or b"" for value in batch.column(column).cast(pa.binary()).to_pylist()]
 
 
-def distinct_rows(df: DataFrame, keys: list[str]) -> DataFrame:
-    return df.select(*keys).distinct()
+def dealt_by_parts(rows: DataFrame, keys: list[str], value: str, part: int) -> DataFrame:
+    """Rows of (keys, value) for tasks that compare the values of a key with each other.
+
+    Adds `mine`, `first_part` and `second_part`. A key of up to `part` values has one part. A larger one
+    is dealt over parts by hash, and there is a task for every two of them and each by itself, so no
+    task gets more than two parts. Values of different parts meet once, in the task of those two.
+    """
+    full = (rows.groupBy(*keys).count().where(F.col("count") > part)
+            .select(*keys, F.ceil(F.col("count") / part).cast("int").alias("parts")))
+    parts = F.coalesce("parts", F.lit(1))
+    mine = F.pmod(F.xxhash64(value), parts).cast("int")
+    return (rows.join(full, keys, "left")
+            .select(*keys, value, mine.alias("mine"),
+                    F.explode(F.sequence(F.lit(0), parts - 1)).alias("other"))
+            .select(*keys, value, "mine", F.least("mine", "other").alias("first_part"),
+                    F.greatest("mine", "other").alias("second_part")))
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str],
+                 rows: int = 1 << 18) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of about so many rows with the places where their groups start; rows come sorted by
+    the keys (whole numbers), and no group is cut."""
+    def bounds(table: pa.Table) -> np.ndarray:
+        new = np.zeros(table.num_rows, bool)
+        new[0] = True
+        for key in keys:
+            column = table.column(key).to_numpy()
+            new[1:] |= column[1:] != column[:-1]
+        return np.flatnonzero(new)
+
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= rows:
+            table = pa.Table.from_batches(held).combine_chunks()
+            starts = bounds(table)
+            # The last group may go on in the next batch.
+            if starts[-1]:
+                yield table.slice(0, starts[-1]).combine_chunks(), starts[:-1]
+            held = table.slice(starts[-1]).to_batches()
+    if sum(b.num_rows for b in held):
+        table = pa.Table.from_batches(held).combine_chunks()
+        yield table, bounds(table)

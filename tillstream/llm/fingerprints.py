@@ -26,11 +26,22 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstream.llm.common import arrow_map, as_bytes, slices, stored, text_key
+from tillstream.llm.common import (
+    arrow_map,
+    as_bytes,
+    dealt_by_parts,
+    slices,
+    stored,
+    text_key,
+    whole_groups,
+)
 
 BITS = 128
 RADIUS = 3
 BLOCKS = 5
+TABLE_PART = 2048
+
+_TASK = ["table", "bucket", "first_part", "second_part"]
 
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
 _FIRST = np.uint64(0xFF51AFD7ED558CCD)
@@ -96,11 +107,16 @@ def fingerprints(documents: DataFrame) -> DataFrame:
     return arrow_map(rows, hashed, "doc_id bigint, fingerprint string")
 
 
+def _edges(blocks: int) -> list[int]:
+    """Where blocks begin and end, in hex digits."""
+    return [BITS // 4 * i // blocks for i in range(blocks + 1)]
+
+
 def _tables(prints: DataFrame, radius: int, blocks: int) -> DataFrame:
     """(fingerprint, table, key) for every choice of blocks - radius blocks."""
     if not 0 <= radius < blocks <= BITS // 4:
         raise ValueError("radius must be below the number of blocks")
-    edges = [BITS // 4 * i // blocks for i in range(blocks + 1)]
+    edges = _edges(blocks)
     block = [F.substring("fingerprint", edges[i] + 1, edges[i + 1] - edges[i])
              for i in range(blocks)]
     keys = [F.struct(F.lit(number).alias("table"), F.concat(*(block[i] for i in chosen)).alias("key"))
@@ -131,6 +147,64 @@ def within_radius(queries: DataFrame, prints: DataFrame, radius: int = RADIUS,
             .select("fingerprint", "found", "distance").distinct())
 
 
+def count_within_radius(prints: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS,
+                        part: int = TABLE_PART) -> DataFrame:
+    """(fingerprint, n_within_radius): how many other distinct fingerprints of `prints` are within
+    `radius` bits; without those that have none.
+
+    The same tables, but pairs are counted where they meet instead of being given out. A pair that
+    meets in several tables counts in the first of them.
+    """
+    choices = list(combinations(range(blocks), blocks - radius))
+    edges = _edges(blocks)
+    masks = [((1 << 4 * (edges[b + 1] - edges[b])) - 1) << (BITS - 4 * edges[b + 1])
+             for b in range(blocks)]
+    masks = np.array([[m >> 64, m & (1 << 64) - 1] for m in masks], np.uint64)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, starts in whole_groups(batches, _TASK):
+            halves = np.stack([table.column(c).to_numpy().view(np.uint64)
+                               for c in ("high", "low")], axis=1)
+            columns = [table.column(c).to_numpy()
+                       for c in ("table", "mine", "first_part", "second_part")]
+            counts = np.zeros(len(halves), np.int64)
+            ends = np.append(starts[1:], len(halves))
+            for start, end in zip(starts[ends - starts > 1].tolist(),
+                                  ends[ends - starts > 1].tolist(), strict=True):
+                number, mine, one, other = (c[start:end] for c in columns)
+                group = halves[start:end]
+                for k in range(len(group) - 1):
+                    differing = group[k + 1:] ^ group[k]
+                    near = np.bitwise_count(differing).sum(axis=1) <= radius
+                    if one[0] != other[0]:
+                        near &= mine[k + 1:] != mine[k]
+                    at = np.flatnonzero(near)
+                    if not len(at):
+                        continue
+                    agree = ((differing[at, None, :] & masks) == 0).all(axis=2)
+                    met = np.array([agree[:, list(c)].all(axis=1) for c in choices[:number[0] + 1]])
+                    at = at[met[-1] & ~met[:-1].any(axis=0)]
+                    counts[start + k] += len(at)
+                    counts[start + k + 1 + at] += 1
+            some = np.flatnonzero(counts)
+            yield pa.RecordBatch.from_arrays(
+                [table.column("fingerprint").take(pa.array(some)).combine_chunks().cast(pa.string()),
+                 pa.array(counts[some])], ["fingerprint", "n"])
+
+    def half(start: int) -> F.Column:
+        first, second = (F.conv(F.substring("fingerprint", start + d, 8), 16, 10).cast("bigint")
+                         for d in (0, 8))
+        return F.shiftleft(first, 32).bitwiseOR(second)
+
+    rows = _tables(prints, radius, blocks).withColumn("bucket", F.xxhash64("key"))
+    dealt = (dealt_by_parts(rows.select("table", "bucket", "fingerprint"), ["table", "bucket"],
+                            "fingerprint", part)
+             .withColumns({"high": half(1), "low": half(17)})
+             .repartition(*_TASK).sortWithinPartitions(*_TASK))
+    return (arrow_map(dealt, counted, "fingerprint string, n bigint")
+            .groupBy("fingerprint").agg(F.sum("n").alias("n_within_radius")))
+
+
 def edited_text(text: str, following: str) -> str:
     """The last quarter of the text's characters replaced by as many first ones of the next."""
     cut = len(text) // 4

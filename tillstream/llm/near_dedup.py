@@ -25,7 +25,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstream.llm.common import arrow_map, as_bytes, slices, stored, text_key
+from tillstream.llm.common import (
+    arrow_map,
+    as_bytes,
+    dealt_by_parts,
+    slices,
+    stored,
+    text_key,
+    whole_groups,
+)
 from tillstream.llm.graph import roots
 
 SHINGLE_WORDS = 3
@@ -34,6 +42,7 @@ HASH_SEED = 42
 CELL_PART = 2048
 
 _EVEN_BITS = 0x5555555555555555
+_TASK = ["half", "cell", "first_part", "second_part"]
 
 
 def simhash(text: bytes, words: int = SHINGLE_WORDS) -> int:
@@ -113,65 +122,28 @@ def _forest(prints: np.ndarray, radius: int) -> tuple[list, list]:
 
 def _cell_links(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
     """Links within cells; rows come sorted by cell."""
-    keys = ("half", "cell", "first_part", "second_part")
-
-    def linked(table: pa.Table) -> pa.RecordBatch:
-        columns = [table.column(k).to_numpy() for k in keys]
+    for table, starts in whole_groups(batches, _TASK):
         prints = table.column("print").to_numpy().view(np.uint64)
-        new = np.zeros(len(prints), bool)
-        new[0] = True
-        for column in columns:
-            new[1:] |= column[1:] != column[:-1]
-        starts = np.flatnonzero(new)
         sizes = np.diff(starts, append=len(prints))
-        left, right = [], []
         two = starts[sizes == 2]
         near = np.bitwise_count(prints[two] ^ prints[two + 1]) <= radius
-        left.append(prints[two][near])
-        right.append(prints[two + 1][near])
+        left, right = [prints[two][near]], [prints[two + 1][near]]
         for start, size in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
             a, b = _forest(prints[start:start + size], radius)
             left += a
             right += b
-        return pa.RecordBatch.from_arrays(
+        yield pa.RecordBatch.from_arrays(
             [pa.array(np.concatenate(x).astype(np.uint64).view(np.int64)) for x in (left, right)],
             ["a", "b"])
 
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        held.append(batch)
-        if sum(b.num_rows for b in held) >= 1 << 18:
-            table = pa.Table.from_batches(held).combine_chunks()
-            # The last cell may go on in the next batch.
-            last = np.ones(table.num_rows, bool)
-            for key in keys:
-                column = table.column(key).to_numpy()
-                last &= column == column[-1]
-            whole = int(np.flatnonzero(~last)[-1]) + 1 if not last.all() else 0
-            if whole:
-                yield linked(table.slice(0, whole))
-            held = table.slice(whole).to_batches()
-    if held and sum(b.num_rows for b in held):
-        yield linked(pa.Table.from_batches(held).combine_chunks())
-
 
 def links(prints: DataFrame, radius: int = RADIUS, part: int = CELL_PART) -> DataFrame:
     """Links (a, b) that connect all fingerprints (column print) within `radius`, 3 at most."""
     if not 0 <= radius <= 3:
         raise ValueError("the grid serves a radius of 0 to 3")
     cells = stored(_cells(prints.select("print").distinct()), "cells")
-    full = (cells.groupBy("half", "cell").count().where(F.col("count") > part)
-            .select("half", "cell", F.ceil(F.col("count") / part).cast("int").alias("parts")))
-    dealt = cells.join(full, ["half", "cell"], "left").withColumn(
-        "mine", F.coalesce(F.pmod(F.xxhash64("print"), F.col("parts")), F.lit(0)).cast("int"))
-    # A full cell's fingerprints meet those of each part, their own included.
-    other = F.explode(F.when(F.col("parts").isNull(), F.array(F.lit(0)))
-                      .otherwise(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)))
-    dealt = dealt.select("half", "cell", "print", "mine", other.alias("other")).select(
-        "half", "cell", "print", F.least("mine", "other").alias("first_part"),
-        F.greatest("mine", "other").alias("second_part"))
-    keys = ["half", "cell", "first_part", "second_part"]
-    sorted_cells = dealt.repartition(*keys).sortWithinPartitions(*keys)
+    dealt = dealt_by_parts(cells, ["half", "cell"], "print", part)
+    sorted_cells = dealt.repartition(*_TASK).sortWithinPartitions(*_TASK)
     return arrow_map(sorted_cells, lambda batches: _cell_links(batches, radius),
                      "a bigint, b bigint")
 

@@ -48,7 +48,11 @@ def op2_separator_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_simhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprints.compare_with_edits(read(spark, sf_dir, "documents"))
+    """With the number of other fingerprints that the block tables find within the radius."""
+    compared = fingerprints.compare_with_edits(read(spark, sf_dir, "documents"))
+    found = fingerprints.count_within_radius(compared.select("fingerprint"))
+    return compared.join(found, "fingerprint", "left").withColumn(
+        "n_within_radius", F.coalesce("n_within_radius", F.lit(0)))
 
 
 def op4_super_kmer_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
