@@ -4,7 +4,34 @@ from __future__ import annotations
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_chat_formatting": _CHAT, "op9_golomb_exact_dedup": _EXACT}
+    return {"op4_super_kmer_substrings": _REPEATS, "op8_chat_formatting": _CHAT,
+            "op9_golomb_exact_dedup": _EXACT}
+
+
+# Windows of 50 words as strings; doc_id is unique in the table.
+_REPEATS = r"""
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+starts AS (
+  SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS i FROM texts WHERE len(words) >= 50),
+windows AS (
+  SELECT doc_id, i, array_to_string(words[i:i + 49], ' ') AS sequence FROM starts),
+hits AS (
+  SELECT doc_id, i FROM (
+    SELECT doc_id, i, min(doc_id) OVER (PARTITION BY sequence) AS first_doc FROM windows)
+  WHERE doc_id > first_doc),
+covered AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS place FROM hits),
+placed AS (
+  SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM texts),
+kept AS (
+  SELECT doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY place) AS kept
+  FROM placed ANTI JOIN covered USING (doc_id, place) GROUP BY doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
+       CAST(len(words) - coalesce(n_kept, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM texts LEFT JOIN kept USING (doc_id)
+"""
 
 
 # White space is taken off by a class of its code points.
