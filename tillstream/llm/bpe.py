@@ -34,10 +34,10 @@ from tillstream.llm.common import arrow_map, as_bytes, slices
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 WHITE_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
-KNOWN_RUNS = 500_000
-KNOWN_PAIRS = 500_000
+KNOWN_RUNS = 400_000
+KNOWN_PAIRS = 300_000
 # Words of more text share more prefixes.
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 4 << 20
 
 
 def _spelled_bytes() -> dict[str, int]:
@@ -47,19 +47,35 @@ def _spelled_bytes() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+def _bytes_of(file: dict) -> dict[int, bytes]:
+    """Every id of a vocabulary file with its bytes."""
+    spelled = _spelled_bytes()
+    found = {i: bytes(spelled[c] for c in t) for t, i in file["model"]["vocab"].items()}
+    return found | {t["id"]: t["content"].encode() for t in file["added_tokens"]}
+
+
+@lru_cache(2)
+def token_bytes(path: str) -> dict[int, bytes]:
+    """What decoding needs, and no more; one per Python worker."""
+    return _bytes_of(json.loads(Path(path).read_text(encoding="utf-8")))
+
+
+def decode_ids(bytes_of: dict[int, bytes], ids: np.ndarray) -> bytes:
+    """UTF-8 of the ids; bytes that are none become the replacement character."""
+    joined = b"".join(map(bytes_of.__getitem__, ids.tolist()))
+    return joined.decode("utf-8", "replace").encode()
+
+
 class Trie:
     """Encodes words, and whole texts, with the merges of one vocabulary file."""
 
     def __init__(self, path: str):
         file = json.loads(Path(path).read_text(encoding="utf-8"))
-        spelled = _spelled_bytes()
-        vocabulary = {t: i for t, i in file["model"]["vocab"].items()}
+        vocabulary = file["model"]["vocab"]
         self.special = {t["content"]: t["id"] for t in file["added_tokens"]}
         special_ids = set(self.special.values())
-        self.id_of = {bytes(spelled[c] for c in t): i for t, i in vocabulary.items()
-                      if i not in special_ids}
-        self.bytes_of = {i: t for t, i in self.id_of.items()}
-        self.bytes_of |= {i: t.encode() for t, i in self.special.items()}
+        self.bytes_of = _bytes_of(file)
+        self.id_of = {t: i for i, t in self.bytes_of.items() if i not in special_ids}
         # Two ids to (order of the merge, id of the whole).
         self.merge = {}
         for order, pair in enumerate(file["model"]["merges"]):
@@ -201,11 +217,6 @@ class Trie:
         return [np.frombuffer(b"".join(map(self.runs.__getitem__, runs)), self.width)
                 for runs in parted]
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        """UTF-8 of the ids; bytes that are none become the replacement character."""
-        joined = b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
-        return joined.decode("utf-8", "replace").encode()
-
 
 @lru_cache(2)
 def trie(path: str) -> Trie:
@@ -237,14 +248,14 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     """One row per row of (doc_id, ids): doc_id, ids, decoded."""
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = trie(path)
+        bytes_of = token_bytes(path)
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
                 ids = part.column("ids")
                 flat, ends = ids.flatten().to_numpy(), np.cumsum(
                     [0, *(n or 0 for n in ids.value_lengths().to_pylist())])
-                texts = [coder.decode(flat[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
+                texts = [decode_ids(bytes_of, flat[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), ids, pa.array(texts, pa.binary()).cast(pa.string())],
                     ["doc_id", "ids", "decoded"])
