@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -15,10 +16,13 @@ from tillstream.llm import (
     fingerprints,
     near_dedup,
     packing,
+    periodic,
     quality,
     shards,
     substrings,
     tokens,
+    toxicity,
+    whitening,
 )
 from tillstream.llm.common import read, stored
 from tillstream.llm.oracles import oracle_sql
@@ -108,8 +112,38 @@ def op10_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op11_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op12_bit_sliced_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A deviation beyond a long is null."""
+    return whitening.whiten(read(spark, sf_dir, "embeddings")).withColumn(
+        "deviation", F.expr("try_cast(deviation as bigint)"))
+
+
+def repeated_end(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words, for one document in ten with its end repeating a stretch of it."""
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    if doc_id is None or h % 10 or not n:
+        return words
+    g = h // 10
+    start = g % n
+    period = 1 + (n - start) // (3 + g % 8)
+    unit = words[start:start + period]
+    return words[:start] + (unit * (-(-(n - start) // period)))[:n - start]
+
+
+def op13_grammar_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.find_runs(read(spark, sf_dir, "documents"), repeated_end)
+    return found.withColumns({
+        "runs_sha256": F.sha2("runs", 256), "collapsed_sha256": F.sha2("collapsed", 256),
+    }).drop("runs", "collapsed")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_longest_first_shards, op2_separator_token_counts, op3_simhash_fingerprints,
         op4_super_kmer_substrings, op5_pack_binary_lengths, op6_simhash_near_dedup,
-        op7_pairwise_quality, op8_chat_formatting, op9_golomb_exact_dedup, op10_trie_bpe)}
+        op7_pairwise_quality, op8_chat_formatting, op9_golomb_exact_dedup, op10_trie_bpe,
+        op11_kneser_ney_toxicity, op12_bit_sliced_whitening, op13_grammar_runs)}
