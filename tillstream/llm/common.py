@@ -31,9 +31,14 @@ def arrow_map(df: DataFrame, function: Callable, schema: str) -> DataFrame:
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """`df` written once to the shared folder and read back: cuts lineage, survives lost executors."""
+    return stored_at(df, name)[0]
+
+
+def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """As `stored`, with the folder, for those that remove it when nothing reads it any more."""
     path = run_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
 def text_of(column: str | Column = "text") -> Column:

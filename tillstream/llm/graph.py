@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstream.llm.common import stored
+from tillstream.llm.common import stored_at
+from tillstream.session import remove
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -36,14 +37,18 @@ def roots(links: DataFrame) -> DataFrame:
     `links` has two bigint columns `a` and `b`; order, repeats and loops don't matter, rows with
     a null are none.
     """
-    links = stored(links.where("a != b").select(
+    spark = links.sparkSession
+    links, path = stored_at(links.where("a != b").select(
         F.greatest("a", "b").alias("high"), F.least("a", "b").alias("low")).distinct(), "links")
     before = None
     while True:
-        links = stored(_small_star(_large_star(links)), "links")
+        wired, new_path = stored_at(_small_star(_large_star(links)), "links")
+        # A round's links are read by the next one alone.
+        remove(spark, path)
+        links, path = wired, new_path
         # Sums that change with any rewiring: roots only ever get smaller.
         state = tuple(links.agg(F.count("*"), F.sum(F.col("low").cast("decimal(38,0)")),
                                 F.sum(F.col("high").cast("decimal(38,0)"))).first())
-        if state == before:
+        if state == before or not state[0]:
             return links.select(F.col("high").alias("key"), F.col("low").alias("root"))
         before = state
