@@ -7,10 +7,11 @@ trie, which is walked depth first (words sorted by bytes are its preorder, the s
 each node gets its last token from the states above it, once for all words that share the prefix.
 
 White space and what follows it up to the next white space is encoded alike wherever it stands, so
-encodings of such runs are kept from slice to slice in a bounded table.
+encodings of such runs are kept from slice to slice in a bounded table of two generations: a full one
+becomes the old one, and what is met again moves to the new one.
 
-Null text counts as empty and has no ids. Rows that repeat a doc_id each get a row. Empty table: no
-rows. Other columns are not carried.
+Null text counts as empty and has no ids. A very long text is a slice of its own. Rows that repeat a
+doc_id each get a row. Empty table: no rows. Other columns are not carried.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from __future__ import annotations
 import json
 import re
 from array import array
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from pathlib import Path
@@ -34,8 +36,9 @@ from tillstream.llm.common import arrow_map, as_bytes, slices
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 WHITE_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
-KNOWN_RUNS = 400_000
-KNOWN_PAIRS = 300_000
+# Each of two generations.
+KNOWN_RUNS = 200_000
+KNOWN_PAIRS = 400_000
 # Words of more text share more prefixes.
 SLICE_BYTES = 4 << 20
 
@@ -60,7 +63,7 @@ def token_bytes(path: str) -> dict[int, bytes]:
     return _bytes_of(json.loads(Path(path).read_text(encoding="utf-8")))
 
 
-def decode_ids(bytes_of: dict[int, bytes], ids: np.ndarray) -> bytes:
+def decode_ids(bytes_of: dict[int, bytes] | list[bytes], ids: np.ndarray) -> bytes:
     """UTF-8 of the ids; bytes that are none become the replacement character."""
     joined = b"".join(map(bytes_of.__getitem__, ids.tolist()))
     return joined.decode("utf-8", "replace").encode()
@@ -82,9 +85,12 @@ class Trie:
             left, right = pair.split(" ") if isinstance(pair, str) else pair
             self.merge.setdefault((vocabulary[left], vocabulary[right]),
                                   (order, vocabulary[left + right]))
-        # Ends of tokens: a longer end of a prefix can only be a token if the shorter ones are ends.
-        self.ends = {t[k:] for t in self.id_of for k in range(len(t))}
-        self.pairs: dict[tuple[int | None, int], bool] = {}
+        # Ends of tokens to their id, or to -1: a longer end of a prefix can only be a token if the
+        # shorter ones are ends.
+        self.tails = dict.fromkeys((t[k:] for t in self.id_of for k in range(1, len(t))), -1) | self.id_of
+        # By the token before (None at a word's start): whether a token may follow.
+        self.after: dict[int | None, dict[int, bool]] = defaultdict(dict)
+        self.known_pairs = 0
         # Of each token made by a merge: (order, left, right). Parts always come before the whole.
         self.made = {whole: (order, *pair) for pair, (order, whole) in self.merge.items()}
         if any(self.made.get(part, (-1,))[0] >= order
@@ -92,13 +98,14 @@ class Trie:
             raise ValueError("a merge comes before one that makes its parts")
         self.spines: dict[tuple[int, int], list[tuple[int, float]]] = {}
         self.runs: dict[str, bytes] = {}
+        self.old_runs: dict[str, bytes] = {}
         self.width = "<u2" if max(self.bytes_of) < 1 << 16 else "<u4"
         self.words = regex.compile(WORD_PATTERN)
         self.run = re.compile(f"[{WHITE_SPACE}]*[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+")
         self.specials = re.compile("(" + "|".join(map(re.escape, self.special)) + ")"
                                    if self.special else r"(?!)")
-        for content, number in self.special.items():
-            self.runs[content] = np.array([number], self.width).tobytes()
+        self.special_runs = {content: np.array([number], self.width).tobytes()
+                             for content, number in self.special.items()}
 
     def merged(self, ids: list[int]) -> list[int]:
         """Plain BPE: the earliest merge of the file first, the leftmost of equal ones."""
@@ -128,17 +135,18 @@ class Trie:
 
     def may_follow(self, before: int | None, token: int) -> bool:
         """Whether the token stays whole after `before`; after None, whether it does alone."""
-        key = before, token
-        known = self.pairs.get(key)
+        known = self.after[before].get(token)
         if known is None:
             if before is None:
                 letters = [self.id_of[bytes([b])] for b in self.bytes_of[token]]
                 known = self.merged(letters) == [token]
             else:
                 known = self.may_follow(None, token) and not self._merges_across(before, token)
-            if len(self.pairs) >= KNOWN_PAIRS:
-                self.pairs.clear()
-            self.pairs[key] = known
+            if self.known_pairs >= KNOWN_PAIRS:
+                self.after.clear()
+                self.known_pairs = 0
+            self.after[before][token] = known
+            self.known_pairs += 1
         return known
 
     def _merges_across(self, before: int, token: int) -> bool:
@@ -157,29 +165,32 @@ class Trie:
         # State of each prefix on the path: its last token, and the prefix length before that.
         last: list[int | None] = [None]
         cut = [0]
-        ends, id_of, pairs, may_follow = self.ends, self.id_of, self.pairs, self.may_follow
+        tails, after, may_follow = self.tails, self.after, self.may_follow
         for word in sorted(words):
             shared, most = 0, min(len(word), len(previous))
             while shared < most and word[shared] == previous[shared]:
                 shared += 1
             del last[shared + 1:], cut[shared + 1:]
             for end in range(shared + 1, len(word) + 1):
-                start, state = end - 1, None
-                while start >= 0:
-                    tail = word[start:end]
-                    token = id_of.get(tail)
-                    if token is not None:
-                        before = last[start]
-                        follows = pairs.get((before, token))
-                        if follows or (follows is None and may_follow(before, token)):
-                            state = token
-                            break
-                    elif tail not in ends:
-                        break
-                    start -= 1
-                if state is None:
-                    raise ValueError(f"no token ends {word[:end]!r}")
-                last.append(state)
+                # Just one token can come last. Often it is the one of the prefix before, and a byte more.
+                start = cut[end - 1]
+                token = tails.get(word[start:end], -1)
+                if token >= 0:
+                    follows = after[last[start]].get(token)
+                    if follows is None:
+                        follows = may_follow(last[start], token)
+                if token < 0 or not follows:
+                    start = end - 1
+                    while True:
+                        token = tails[word[start:end]]
+                        if token >= 0:
+                            follows = after[last[start]].get(token)
+                            if follows is None:
+                                follows = may_follow(last[start], token)
+                            if follows:
+                                break
+                        start -= 1
+                last.append(token)
                 cut.append(start)
             ids, at = [], len(word)
             while at:
@@ -201,20 +212,23 @@ class Trie:
                 else:
                     runs += self.run.findall(part)
             parted.append(runs)
-        missing = {r for runs in parted for r in runs if r not in self.runs}
-        if len(self.runs) + len(missing) > KNOWN_RUNS:
-            self.runs.clear()
-            for content, number in self.special.items():
-                self.runs[content] = np.array([number], self.width).tobytes()
-            missing = {r for runs in parted for r in runs if r not in self.runs}
+        if len(self.runs) > KNOWN_RUNS:
+            self.old_runs, self.runs = self.runs, {}
+        known, old = self.runs, self.old_runs
+        if not known:
+            known.update(self.special_runs)
+        needed = set().union(*parted).difference(known)
+        again = needed & old.keys()
+        known.update(zip(again, map(old.__getitem__, again), strict=True))
+        missing = needed - again
         # A run of letters, with a blank before it or not, is one word.
         cut = {r: [r.encode()] if r.isalpha() or (r[0] == " " and r[1:].isalpha())
                else [w.encode() for w in self.words.findall(r)] for r in missing}
         ids = self.encode_words({w for words in cut.values() for w in words})
         kind = {"<u2": "H", "<u4": "I"}[self.width]
         for run, words in cut.items():
-            self.runs[run] = array(kind, [i for w in words for i in ids[w]]).tobytes()
-        return [np.frombuffer(b"".join(map(self.runs.__getitem__, runs)), self.width)
+            known[run] = array(kind, [i for w in words for i in ids[w]]).tobytes()
+        return [np.frombuffer(b"".join(map(known.__getitem__, runs)), self.width)
                 for runs in parted]
 
 
@@ -262,3 +276,19 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
     return arrow_map(encoded.select("doc_id", "ids"), decoded,
                      "doc_id bigint, ids array<int>, decoded string")
+
+
+def encode_and_decode(documents: DataFrame, path: str) -> DataFrame:
+    """One row per document: doc_id, ids, decoded, in one pass."""
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = trie(path)
+        for batch in slices(batches, most=SLICE_BYTES):
+            ids = coder.encode([t.decode() for t in as_bytes(batch)])
+            texts = pa.array([decode_ids(coder.bytes_of, i) for i in ids], pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), _lists(ids), texts.cast(pa.string())],
+                ["doc_id", "ids", "decoded"])
+
+    rows = documents.select(F.col("doc_id").cast("bigint"), "text")
+    return arrow_map(rows, coded, "doc_id bigint, ids array<int>, decoded string")

@@ -105,7 +105,7 @@ def op9_golomb_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = bpe.decode(bpe.encode(read(spark, sf_dir, "documents"), BYTE_BPE), BYTE_BPE)
+    coded = bpe.encode_and_decode(read(spark, sf_dir, "documents"), BYTE_BPE)
     return coded.select(
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
