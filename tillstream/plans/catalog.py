@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 from contextlib import suppress
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tillstream import constants as C
 from tillstream import schemas
 from tillstream.functions import times
-from tillstream.operators import alerts, metrics, serve
+from tillstream.operators import alerts, metrics, serve, stepping
 from tillstream.operators.aggregate import merge_partials, sales_by_window
 from tillstream.operators.normalize import (
     dq_counts, filter_country, normalize_sales, quarantine, read_unified, unify_sources,
@@ -26,7 +28,7 @@ from tillstream.plans.events import (
 )
 from tillstream.session import configure, run_dir
 from tillstream.sinks.rankings import (
-    append_rankings, ranking_rows, read_rankings, replace_rankings,
+    append_once, append_rankings, ranking_rows, read_rankings, replace_rankings,
 )
 from tillstream.sinks.topic import to_topic_records, unified_records, write_topic
 from tillstream.sources.csv_sales import read_csv_sales, read_csv_sales_by_name
@@ -35,6 +37,7 @@ from tillstream.sources.relational import (
     advance_mark, poll, relational_records, save_mark, scan_since,
 )
 from tillstream.sources.topic import read_topic
+from tillstream.streaming import open_windows, running, series, watermarks
 from tillstream.streaming.jobs import (
     normalization_job, quarantine_job, ranking_job, ranking_quarantine_job, run_available,
 )
@@ -371,7 +374,8 @@ def legacy_poll(spark: SparkSession, sf_dir: str) -> DataFrame:
     sales = legacy_rows(read_sales(spark, sf_dir))
     (sales.write.format("xml").option("rootTag", "response").option("rowTag", "sales")
      .save(f"{base}/in"))
-    since, newest = sales.agg(F.percentile_approx("saleDate", 0.5), F.max("saleDate")).first()
+    oldest, newest = sales.agg(F.min("saleDate"), F.max("saleDate")).first()
+    since = (oldest + newest) // 2
     marks = f"{base}/marks"
     save_mark(spark, marks, since, C.LEGACY_PRODUCER)
 
@@ -665,10 +669,8 @@ def alert_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
         samples, "event_type", value="took_ms", seq="event_id"), "event_type")
 
 
-@query
-def alert_latency_p95(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Request buckets of one endpoint, read at every event, fast and slow by turns of 1000
-    requests; rates over six hours, as events are minutes apart."""
+def _request_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Request buckets of one endpoint, read at every event, fast and slow by turns of 1000 requests."""
     turn = F.floor(F.col("event_id") / 1000)
     done = F.floor(turn / 2) * 1000 + F.when(turn % 2 == 1, 1000).otherwise(
         F.pmod("event_id", F.lit(1000)))
@@ -679,8 +681,14 @@ def alert_latency_p95(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.lit(1.0).alias("le"), (done * 10 + slow * 3).cast("double").alias("value")),
         F.struct(F.lit(5.0).alias("le"), (done * 10 + slow * 10).cast("double").alias("value")),
         F.struct(F.lit(float("inf")).alias("le"), (done * 10 + slow * 10).cast("double").alias("value")))
-    samples = read_events(spark, sf_dir).select(
+    return read_events(spark, sf_dir).select(
         "event_id", "ts", F.lit("/rankings").alias("uri"), F.inline(buckets))
+
+
+@query
+def alert_latency_p95(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates over six hours, as events are minutes apart."""
+    samples = _request_buckets(spark, sf_dir)
     return _breaches(alerts.latency_p95(samples, "uri", "event_id", rate_seconds=21_600), "uri")
 
 
@@ -795,12 +803,13 @@ def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_idle_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One of three source topics never gets a record; the others' windows close all the same."""
+    """All sales come on two of three source topics, the third never gets one; windows close all the same."""
     base = run_dir(spark, "stream-idle")
-    parts = _parts(read_sales(spark, sf_dir))
-    write_topic(source_records(parts["postgres"], "postgres"), f"{base}/postgres", fmt="parquet")
-    write_topic(source_records(parts["files"], "files"), f"{base}/files", fmt="parquet")
-    write_topic(source_records(parts["legacy"].limit(0), "legacy"), f"{base}/legacy", fmt="parquet")
+    sales = read_sales(spark, sf_dir)
+    even = F.pmod("event_id", F.lit(2)) == 0
+    live = {"postgres": sales.where(even), "files": sales.where(~even), "legacy": sales.where(F.lit(False))}
+    for source, part in live.items():
+        write_topic(source_records(part, source), f"{base}/{source}", fmt="parquet")
     events = unify_sources(*[
         normalize_sales(read_topic(spark, f"{base}/{source}", fmt="parquet"), source)
         for source in C.SOURCES])
@@ -850,3 +859,225 @@ def stream_ranking_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     aside = spark.read.schema("reason STRING, value STRING").parquet(f"{base}/aside")
     what = F.coalesce(F.get_json_object("value", "$.saleId"), F.expr("substring(value, 2)"))
     return ranked.distinct().unionByName(aside.select("reason", what.alias("what")))
+
+
+class _Portions:
+    """Rows that come in portions of time, each followed by a run of a job that starts anew."""
+
+    def __init__(self, spark: SparkSession, name: str, rows: DataFrame, ts: str, portions: int = 3):
+        self.spark, self.base = spark, run_dir(spark, name)
+        self.rows, self.ts, self.portions = rows, ts, portions
+        at = F.unix_micros(F.col(ts))
+        first, last = rows.agg(F.min(at), F.max(at)).first()
+        if first is not None:
+            span = (last - first) // portions + 1
+            self.part = F.call_function("div", at - F.lit(first), F.lit(span))
+
+    def stream(self) -> DataFrame:
+        return self.spark.readStream.schema(self.rows.schema).parquet(f"{self.base}/rows/*")
+
+    def run_each(self, start: Callable[[DataFrame], None]) -> None:
+        for number in range(self.portions):
+            self.rows.where(self.part == number).write.parquet(f"{self.base}/rows/portion={number}")
+            start(self.stream())
+
+    def to_files(self, job: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """What a streaming job has appended after all portions."""
+        def start(stream: DataFrame) -> None:
+            run_available(job(stream).writeStream.format("parquet").outputMode("append")
+                          .option("checkpointLocation", f"{self.base}/checkpoint")
+                          .option("path", f"{self.base}/out"))
+        self.run_each(start)
+        return self.spark.read.schema(job(self.rows).schema).parquet(f"{self.base}/out")
+
+
+@query
+def stream_counter_rate_6h(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`counter_rate_6h` over a stream of three portions with restarts between: all closed samples."""
+    portions = _Portions(spark, "stream-rate", counter_samples(spark, sf_dir), "ts")
+    rated = portions.to_files(lambda samples: series.stream_counter_rate(
+        samples, "series", 21_600, seq="event_id"))
+    return rated.select(F.col("seq").alias("event_id"), "series", "increase", "rate")
+
+
+def _streamed_breaches(spark: SparkSession, name: str, samples: DataFrame, rule: tuple[float, int],
+                       value: str) -> DataFrame:
+    log = _Portions(spark, name, samples, "ts").to_files(lambda rows: series.stream_alert(
+        rows, "event_type", rule, value=value, seq="event_id"))
+    return _breaches(series.alert_stretches(log, "event_type"), "event_type")
+
+
+@query
+def stream_alert_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`alert_lag` over a stream of three portions with restarts between."""
+    samples = read_events(spark, sf_dir).withColumn("lag", F.col("value") * 500)
+    return _streamed_breaches(spark, "stream-lag", samples, C.LAG_RULE, "lag")
+
+
+@query
+def stream_alert_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`alert_checkpoint` over a stream of three portions with restarts between."""
+    samples = read_events(spark, sf_dir).withColumn("took_ms", F.col("value") * 3000)
+    return _streamed_breaches(spark, "stream-checkpoint", samples, C.CHECKPOINT_MS_RULE, "took_ms")
+
+
+@query
+def stream_running_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first cities of every window after each of three portions that all windows get a part of."""
+    base = run_dir(spark, "running-ranking")
+    sales = read_sales(spark, sf_dir)
+    seen = []
+    for number in range(3):
+        (sales.where(F.pmod("event_id", F.lit(3)) == number).select("event_time", "amount", "city")
+         .write.parquet(f"{base}/sales/portion={number}"))
+        stream = spark.readStream.schema("event_time TIMESTAMP, amount DECIMAL(18,2), city STRING").parquet(
+            f"{base}/sales/*")
+        # No window closes while a later portion may add to it.
+        run_available(running.running_ranking_job(
+            stream, "city", f"{base}/ranking", f"{base}/checkpoint", out_of_order="400 days"))
+        upto = running.ranking_changes(spark, f"{base}/ranking", "city")
+        last = upto.agg(F.max(running.BATCH)).first()[0]
+        seen.append(running.folded(upto.where(F.col(running.BATCH) <= F.lit(last))).withColumn(
+            "portion", F.lit(number)))
+    found = seen[0].unionByName(seen[1]).unionByName(seen[2])
+    return with_window_text(found).select("portion", *CITY_COLUMNS)
+
+
+@query
+def stream_source_watermarks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three sources with a watermark each. First one of them stops at a third of the time; then it comes
+    up to two thirds; then, after a restart, it is found idle and let go. After each step, what has closed."""
+    base = run_dir(spark, "source-watermarks")
+    sales = read_sales(spark, sf_dir).select("event_id", "event_time", "amount", "city")
+    at = F.unix_micros("event_time")
+    first, last = sales.agg(F.min(at), F.max(at)).first()
+    first, last = first or 0, last or 0
+    of = F.pmod("event_id", F.lit(3))
+    third = F.call_function("div", at - F.lit(first), F.lit((last - first) // 3 + 1))
+    idle = watermarks.IdleSources(spark, f"{base}/beats", list(C.SOURCES))
+    closed = []
+
+    def arrive(part: DataFrame) -> None:
+        for k, source in enumerate(C.SOURCES):
+            part.where(of == k).drop("event_id").write.parquet(f"{base}/{source}/step={len(closed)}")
+
+    def start() -> StreamingQuery:
+        streams = {source: spark.readStream.schema(
+            "event_time TIMESTAMP, amount DECIMAL(18,2), city STRING").parquet(f"{base}/{source}/*")
+            for source in C.SOURCES}
+        events = watermarks.with_source_watermarks(streams, heartbeats=f"{base}/beats")
+        return ranking_job(events, "city", f"{base}/table", f"{base}/checkpoint",
+                           one_watermark=False).trigger(processingTime="0 seconds").start()
+
+    def settle(query: StreamingQuery) -> None:
+        query.processAllAvailable()
+        table = read_rankings(spark, f"{base}/table", schemas.CITY_RANKING)
+        table.write.parquet(f"{base}/after={len(closed)}")
+        closed.append(serve.latest_windows(read_rankings(
+            spark, f"{base}/after={len(closed)}", schemas.CITY_RANKING)).withColumn(
+            "step", F.lit(len(closed))))
+
+    watermarks.prepare_heartbeats(spark, f"{base}/beats", list(C.SOURCES))
+    append_rankings(spark.createDataFrame([], schemas.CITY_RANKING), f"{base}/table")
+    arrive(sales.where((of != 2) | (third == 0)))
+    query = start()
+    try:
+        settle(query)
+        arrive(sales.where((of == 2) & (third == 1)))
+        settle(query)
+        idle.look(query)
+        query.stop()
+        idle.carry_over()
+        query = start()
+        idle.idle_seconds = 0
+        idle.look(query)
+        settle(query)
+    finally:
+        query.stop()
+    found = closed[0].unionByName(closed[1]).unionByName(closed[2])
+    return with_window_text(found).select("step", *CITY_COLUMNS)
+
+
+@query
+def stream_open_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed windows from the table and open ones from the job's state: together all sales."""
+    base = run_dir(spark, "open-windows")
+    sales = as_sales(stream_events(spark, sf_dir))
+    run_available(ranking_job(sales, "city", f"{base}/table", f"{base}/checkpoint"))
+    columns = ["window_start", "window_end", "city", "total_sales", "transaction_count", "rank"]
+    table = serve.latest_windows(read_rankings(spark, f"{base}/table", schemas.CITY_RANKING))
+    still = top_n_per_window(open_windows.open_totals(spark, f"{base}/checkpoint", "city"), "city")
+    found = table.select(*columns, F.lit(False).alias("open")).unionByName(
+        still.select(*columns, F.lit(True).alias("open")))
+    return with_window_text(found).select(*CITY_COLUMNS, "open")
+
+
+@query
+def stream_failed_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second portion's micro-batch fails after its write; the job starts again from its checkpoint.
+    Every window has one version."""
+    sales = read_sales(spark, sf_dir).select("event_time", "amount", "city")
+    portions = _Portions(spark, "failed-commit", sales, "event_time")
+    base, runs = portions.base, []
+
+    def fail_after(rows: DataFrame, path: str) -> None:
+        append_once(rows, path)
+        raise ConnectionError("the job is lost between write and commit")
+
+    def start(stream: DataFrame) -> None:
+        runs.append(stream)
+        if len(runs) == 2:
+            with suppress(StreamingQueryException):
+                run_available(ranking_job(stream, "city", f"{base}/table", f"{base}/checkpoint",
+                                          write=fail_after))
+        run_available(ranking_job(stream, "city", f"{base}/table", f"{base}/checkpoint",
+                                  write=append_once))
+
+    portions.run_each(start)
+    table = read_rankings(spark, f"{base}/table", schemas.CITY_RANKING)
+    versions = table.groupBy("window_start").agg(
+        F.count_distinct("updated_at", "batch_id").alias("versions"))
+    found = table.join(versions, "window_start")
+    return with_window_text(found).select(*CITY_COLUMNS, "versions")
+
+
+# --- metrics on a grid of steps --------------------------------------------------------------
+
+def _range_rate(spark: SparkSession, sf_dir: str, step: int, seconds: int) -> DataFrame:
+    samples = counter_samples(spark, sf_dir)
+    grid = stepping.Grid.over(samples, step)
+    if grid is None:
+        grid = stepping.Grid(0, 0, step)
+    rated = stepping.rate_at_steps(samples, "series", grid, seconds, seq="event_id")
+    return rated.select("series", times.format_window(F.col("ts")).alias("ts"), "increase", "rate")
+
+
+@query
+def range_rate_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates over five minutes at every minute."""
+    return _range_rate(spark, sf_dir, 60, 300)
+
+
+@query
+def range_rate_6h(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates over six hours at every half hour."""
+    return _range_rate(spark, sf_dir, 1800, 21_600)
+
+
+@query
+def range_latest_gauge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest value of the last five minutes at every minute."""
+    events = read_events(spark, sf_dir)
+    grid = stepping.Grid.over(events, 60) or stepping.Grid(0, 0, 60)
+    found = stepping.value_at_steps(events, "event_type", grid, seq="event_id")
+    return found.select("event_type", times.format_window(F.col("ts")).alias("ts"), "value")
+
+
+@query
+def range_alert_p95(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`alert_latency_p95` on a grid of ten minutes, "for" counted in steps."""
+    samples = _request_buckets(spark, sf_dir)
+    grid = stepping.Grid.over(samples, 600) or stepping.Grid(0, 0, 600)
+    found = stepping.latency_alert(samples, "uri", grid, "event_id", range_seconds=21_600)
+    return found.select("uri", *(times.format_window(F.col(c)).alias(c) for c in (
+        "pending_since", "firing_since", "firing_to")), "steps")

@@ -197,14 +197,17 @@ SELECT event_id, ts, (event_id // 1000 // 2) * 1000
          + CASE WHEN event_id // 1000 % 2 = 1 THEN event_id % 1000 ELSE 0 END AS slow
 FROM events"""
 
-_LATENCY_SAMPLES = f"""
+_COUNTERS = f"""
 WITH requests AS ({_REQUESTS}), counters AS (
   SELECT event_id, ts, CAST('0.5' AS DOUBLE) AS le, CAST(done * 9 + slow * 2 AS DOUBLE) AS value FROM requests
   UNION ALL SELECT event_id, ts, CAST('1' AS DOUBLE), CAST(done * 10 + slow * 3 AS DOUBLE) FROM requests
   UNION ALL SELECT event_id, ts, CAST('5' AS DOUBLE), CAST(done * 10 + slow * 10 AS DOUBLE) FROM requests
   UNION ALL SELECT event_id, ts, CAST('Infinity' AS DOUBLE), CAST(done * 10 + slow * 10 AS DOUBLE)
   FROM requests
-), framed AS (
+)"""
+
+_LATENCY_SAMPLES = f"""
+{_COUNTERS}, framed AS (
   SELECT event_id, ts, le, value - first_value(value) OVER recent AS increase,
          CAST(epoch_us(ts) - first_value(epoch_us(ts)) OVER recent AS DOUBLE) / 1e6 AS elapsed
   FROM counters
@@ -227,6 +230,103 @@ FROM hit WHERE nth = 1"""
 
 _LATENCY = _breaches(_LATENCY_SAMPLES, "uri", 2, 300)
 
+
+def _grid_rate(samples: str, by: str, step: int, seconds: int) -> str:
+    """CTEs from `steps` to `rates`: the rate of each counter at every step of a grid, stretched."""
+    return f"""
+samples AS ({samples}),
+steps AS (
+  SELECT unnest(generate_series(min(epoch_us(ts)) // {step}000000 * {step}000000,
+                                max(epoch_us(ts)) // {step}000000 * {step}000000, {step}000000)) AS t
+  FROM samples),
+seen AS (
+  SELECT {by}, t, epoch_us(ts) AS us, event_id, CAST(value AS DOUBLE) AS v
+  FROM samples JOIN steps ON epoch_us(ts) > t - {seconds}000000 AND epoch_us(ts) <= t),
+grown AS (
+  SELECT *, CASE WHEN lag(v) OVER w IS NULL THEN 0 WHEN v < lag(v) OVER w THEN v
+                 ELSE v - lag(v) OVER w END AS step
+  FROM seen WINDOW w AS (PARTITION BY {by}, t ORDER BY us, event_id)),
+found AS (
+  SELECT {by}, t, CAST(sum(step) AS DOUBLE) AS increase, count(*) AS n,
+         arg_min(v, struct_pack(us := us, event_id := event_id)) AS first_v,
+         CAST(max(us) - min(us) AS DOUBLE) / 1e6 AS covered,
+         CAST(min(us) - t + {seconds}000000 AS DOUBLE) / 1e6 AS ahead,
+         CAST(t - max(us) AS DOUBLE) / 1e6 AS behind
+  FROM grown GROUP BY {by}, t HAVING count(*) > 1),
+reached AS (
+  SELECT * REPLACE (
+    CASE WHEN ahead >= covered / (n - 1) * CAST('1.1' AS DOUBLE) THEN covered / (n - 1) / 2
+         ELSE ahead END AS ahead,
+    CASE WHEN behind >= covered / (n - 1) * CAST('1.1' AS DOUBLE) THEN covered / (n - 1) / 2
+         ELSE behind END AS behind) FROM found),
+rates AS (
+  SELECT {by}, t, increase, CASE WHEN covered > 0 THEN increase * ((covered
+           + CASE WHEN increase > 0 AND first_v >= 0 AND covered * (first_v / increase) < ahead
+                  THEN covered * (first_v / increase) ELSE ahead END + behind) / covered) / {seconds} END AS rate
+  FROM reached)"""
+
+
+_AT = "strftime(make_timestamp({0}), '%Y-%m-%d %H:%M:%S')"
+
+
+def _range_rate(step: int, seconds: int) -> str:
+    return (f"WITH {_grid_rate(_COUNTER, 'series', step, seconds)}"
+            f" SELECT series, {_AT.format('t')} AS ts, increase, rate FROM rates")
+
+
+_RANGE_P95 = f"""
+{_COUNTERS}, {_grid_rate("SELECT * FROM counters", "le", 600, 21600)},
+placed AS (
+  SELECT *, coalesce(lag(rate) OVER p, 0) AS below, coalesce(lag(le) OVER p, 0) AS lower,
+         max(rate) OVER (PARTITION BY t) AS total
+  FROM rates WHERE rate IS NOT NULL WINDOW p AS (PARTITION BY t ORDER BY le)),
+hit AS (
+  SELECT *, row_number() OVER (PARTITION BY t ORDER BY le) AS nth
+  FROM placed WHERE total > 0 AND rate >= CAST('0.95' AS DOUBLE) * total),
+quantiles AS (
+  SELECT t, CASE WHEN isinf(le) THEN lower WHEN rate = below THEN le
+    ELSE lower + (le - lower) * ((CAST('0.95' AS DOUBLE) * total - below) / (rate - below)) END AS value
+  FROM hit WHERE nth = 1),
+islands AS (
+  SELECT t, t - row_number() OVER (ORDER BY t) * 600000000 AS island FROM quantiles WHERE value > 2)
+SELECT '/rankings' AS uri, {_AT.format('min(t)')} AS pending_since,
+       {_AT.format('min(t) + 300000000')} AS firing_since, {_AT.format('max(t)')} AS firing_to,
+       CAST(count(*) AS BIGINT) AS steps
+FROM islands GROUP BY island HAVING max(t) - min(t) >= 300000000"""
+
+_RANGE_GAUGE = f"""
+WITH steps AS (
+  SELECT unnest(generate_series(min(epoch_us(ts)) // 60000000 * 60000000,
+                                max(epoch_us(ts)) // 60000000 * 60000000, 60000000)) AS t FROM events)
+SELECT event_type, {_AT.format('t')} AS ts, value FROM (
+  SELECT event_type, t, value, row_number() OVER (
+    PARTITION BY event_type, t ORDER BY ts DESC, event_id DESC) AS nth
+  FROM events JOIN steps ON epoch_us(ts) > t - 300000000 AND epoch_us(ts) <= t)
+WHERE nth = 1"""
+
+# What the watermark of a stream of samples has passed at the end.
+_PASSED = "epoch_us(ts) <= (SELECT (max(epoch_us(ts)) // 1000 - 5000) * 1000 FROM events)"
+
+_RUNNING = " UNION ALL ".join(
+    f"SELECT {portion} AS portion, {_CITY} FROM ({_ranked('city', f'event_id % 3 <= {portion}')})"
+    for portion in range(3))
+
+# Source 2 stops at a third of the time, comes up to two thirds, and is let go.
+_WATERMARKS = f"""
+WITH bounds AS (SELECT min(epoch_us(ts)) AS first, (max(epoch_us(ts)) - min(epoch_us(ts))) // 3 + 1 AS third
+                FROM events),
+parts AS (SELECT event_id, event_id % 3 AS source, epoch_us(ts) AS us,
+                 (epoch_us(ts) - first) // third AS behind FROM events, bounds),
+come AS (SELECT unnest(range(3)) AS step),
+marks AS (
+  SELECT step, CASE step WHEN 2 THEN max(newest) ELSE min(newest) END // 1000 * 1000 - 5000000 AS mark
+  FROM (SELECT step, source, max(us) AS newest FROM parts JOIN come ON source < 2 OR behind <= least(step, 1)
+        GROUP BY ALL)
+  GROUP BY step),
+ranked AS ({_ranked('city', 'event_id IN (SELECT event_id FROM parts WHERE source < 2 OR behind <= 1)')})
+SELECT CAST(step AS INTEGER) AS step, {_CITY}
+FROM ranked JOIN marks ON epoch_us(window_end) <= mark"""
+
 # A window of 720 hours, counted from 1970.
 _LONG = f"""
 WITH totals AS (
@@ -354,10 +454,9 @@ WHERE event_id + 1 > (SELECT (max(event_id) + 1) // 2 FROM events)""",
                 ("postgres", "CAST(event_id + 1 AS VARCHAR)"), ("files", "'E' || event_id"),
                 ("legacy", "'E' || event_id"))),
         "legacy_poll": """
-WITH timed AS (SELECT event_id, epoch_us(ts) // 1000 AS ms FROM events),
-placed AS (SELECT *, row_number() OVER (ORDER BY ms) AS place, count(*) OVER () AS n FROM timed)
+WITH timed AS (SELECT event_id, epoch_us(ts) // 1000 AS ms FROM events)
 SELECT 'E' || event_id AS sale_id, ms AS event_time_ms, true AS after FROM timed
-WHERE ms > (SELECT max(ms) FROM placed WHERE place <= ceil(n / 2.0))""",
+WHERE ms > (SELECT (min(ms) + max(ms)) // 2 FROM timed)""",
         "csv_stream_by_name": f"""
 SELECT sale_id, salesman_name, city, country, amount,
        CASE WHEN product = 'click' THEN '' ELSE product END AS product, sale_date FROM ({_CSV})""",
@@ -418,10 +517,24 @@ SELECT event_type, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, value FROM (
             "SELECT make_timestamp(max(epoch_us(ts) // 1000 * 1000)) FROM events"
             " WHERE event_id % 17 <> 0") + ")",
         "stream_replay": f"SELECT {_CITY} FROM ({_closed(_ranked('city'), _STREAMED_MS)})",
-        "stream_idle_source": f"SELECT {_CITY} FROM (" + _closed(
-            _ranked("city", "product IN ('signup', 'click', 'view', 'error')"),
-            "SELECT make_timestamp(max(epoch_us(ts) // 1000 * 1000)) FROM events"
-            " WHERE event_type IN ('signup', 'click', 'view', 'error')") + ")",
+        "stream_idle_source": f"SELECT {_CITY} FROM ({_closed(_ranked('city'), _STREAMED_MS)})",
+        "stream_counter_rate_6h": _rate(f"SELECT * FROM ({_COUNTER}) WHERE {_PASSED}", "series", 21600),
+        "stream_alert_lag": _breaches(
+            "SELECT event_type, event_id, ts, value * 500 AS value FROM events WHERE " + _PASSED,
+            "event_type", 10_000, 300),
+        "stream_alert_checkpoint": _breaches(
+            "SELECT event_type, event_id, ts, value * 3000 AS value FROM events WHERE " + _PASSED,
+            "event_type", 60_000, 180),
+        "stream_running_ranking": _RUNNING,
+        "stream_source_watermarks": _WATERMARKS,
+        "stream_open_windows": f"""
+SELECT {_CITY}, window_end > ({_STREAMED_MS}) - INTERVAL 5 SECOND AS open FROM ({_ranked('city')})""",
+        "stream_failed_commit":
+            f"SELECT {_CITY}, CAST(1 AS BIGINT) AS versions FROM ({_closed(_ranked('city'), _STREAMED_MS)})",
+        "range_rate_5m": _range_rate(60, 300),
+        "range_rate_6h": _range_rate(1800, 21600),
+        "range_latest_gauge": _RANGE_GAUGE,
+        "range_alert_p95": _RANGE_P95,
         "stream_quarantine": """
 SELECT CASE WHEN event_id % 5 = 0 THEN 'malformed' ELSE 'event' END AS kind,
        'E' || event_id AS sale_id FROM events""",

@@ -59,6 +59,21 @@ def replace_rankings(rows: DataFrame, path: str) -> None:
     append_rankings(rows, path)
 
 
+def append_once(rows: DataFrame, path: str) -> None:
+    """Append a micro-batch's windows, but for those that the table has from a micro-batch of this number.
+
+    A job that fails between its write and its commit runs the micro-batch again. Its windows leave the
+    aggregation once, so what stands in the table under its number is what it wrote; a write is committed
+    as a whole or not at all. For a table with one writer.
+    """
+    table = _existing(rows.sparkSession, path, rows.schema)
+    if table is not None:
+        written = (table.join(rows.select(PARTITION).distinct(), PARTITION, "left_semi")
+                   .select("window_start", "batch_id").distinct())
+        rows = rows.join(written, ["window_start", "batch_id"], "left_anti").select(*rows.columns)
+    append_rankings(rows, path)
+
+
 def compact_rankings(log: DataFrame, path: str) -> None:
     """Write what reads see of a ranking log (already folded) as a new table, one file per date."""
     log.repartition(PARTITION).write.partitionBy(PARTITION).parquet(path)

@@ -57,17 +57,17 @@ def _aside(rows: DataFrame, out: str, checkpoint: str) -> DataStreamWriter:
 
 def windowed_totals(sales: DataFrame, key: str, length: str = C.WINDOW_LENGTH,
                     out_of_order: str = C.OUT_OF_ORDERNESS,
-                    country: str | None = None) -> DataFrame:
+                    country: str | None = None, one_watermark: bool = True) -> DataFrame:
     """Totals of closed windows, optionally of one country.
 
-    One watermark over the unified input, not one per source. Rows of every country advance
-    it. The observed input count is of use itself, and it keeps the optimizer from moving the
-    country filter below the watermark, which would then see the rows of that country only.
+    One watermark over the unified input, not one per source; if not `one_watermark`, the input has its own
+    (`watermarks.with_source_watermarks`). Rows of every country advance it. The observed input count is of
+    use itself, and it keeps the optimizer from moving the country filter below the watermark, which would
+    then see the rows of that country only.
     """
-    arrived = (
-        sales.withWatermark("event_time", out_of_order)
-        .observe("arrived", F.count(F.lit(1)).alias("rows"))
-    )
+    if one_watermark:
+        sales = sales.withWatermark("event_time", out_of_order)
+    arrived = sales.observe("arrived", F.count(F.lit(1)).alias("rows"))
     kept = arrived if country is None else filter_country(arrived, country)
     return sales_by_window(kept, key, length)
 
@@ -77,7 +77,7 @@ RankingWriter = Callable[[DataFrame, str], None]
 
 def ranking_job(sales: DataFrame, key: str, path: str, checkpoint: str, *,
                 country: str | None = None, n: int = C.TOP_N, length: str = C.WINDOW_LENGTH,
-                write: RankingWriter = append_rankings) -> DataStreamWriter:
+                write: RankingWriter = append_rankings, one_watermark: bool = True) -> DataStreamWriter:
     """Rank each window once it closes, into the ranking table at `path`.
 
     `sales` streams `event_time`, `amount` and the key. All totals of a window leave the
@@ -86,7 +86,7 @@ def ranking_job(sales: DataFrame, key: str, path: str, checkpoint: str, *,
     which reads through `latest_windows` fold away; `write=replace_rankings` also puts that version
     above all that other jobs wrote.
     """
-    totals = windowed_totals(sales, key, length, country=country)
+    totals = windowed_totals(sales, key, length, country=country, one_watermark=one_watermark)
     return (
         totals.writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
