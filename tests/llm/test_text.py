@@ -86,6 +86,8 @@ def test_bpe_awkward_rows(spark, byte_tokenizer):
     want = sorted(((i, byte_tokenizer.encode(t or "", add_special_tokens=False).ids, t or "")
                    for i, t in helpers.AWKWARD), key=str)
     assert got == want
+    at_once = bpe.encode_and_decode(helpers.documents(spark), queries.BYTE_BPE).collect()
+    assert sorted(((r.doc_id, r.ids, r.decoded) for r in at_once), key=str) == want
     none = bpe.encode(helpers.documents(spark, []), queries.BYTE_BPE)
     assert bpe.decode(none, queries.BYTE_BPE).collect() == []
 
@@ -203,11 +205,12 @@ def test_pairs_are_learned():
     good = random.normal(0, 1, (200, quality.FEATURES))
     bad = random.normal(0, 1, (100, quality.FEATURES))
     bad[:, 3] += 3
-    model = quality.fit_pairs(good, bad, 1 / 3)
+    model = quality.fit_pairs(good, bad)
     def raw(x):
-        return (x - model.mean) @ model.weights - model.threshold
-    assert (raw(good) > 0).mean() > 0.9 and (raw(bad) < 0).mean() > 0.85
-    one_class = quality.fit_pairs(good, bad[:0], 0.0)
+        return (x - model.mean) @ model.weights
+    bound = np.quantile(np.concatenate([raw(good), raw(bad)]), 1 / 3)
+    assert (raw(good) > bound).mean() > 0.9 and (raw(bad) < bound).mean() > 0.85
+    one_class = quality.fit_pairs(good, bad[:0])
     assert one_class.scores([b"any", b""]).tolist() == [0.5, 0.5]
 
 
@@ -228,6 +231,42 @@ def test_quality_holds_out_and_ranks(spark):
     assert (good[:, None] > bad[None, :]).mean() > 0.97
 
 
+def test_quality_query_equals_its_definition(spark, sf_dir):
+    """The weights are where the loss over the pairs, which is convex, has no slope; the threshold is the
+    quantile of all scores that may be learned from; every score follows from both."""
+    texts = {r.doc_id: (r.text or "").encode() for r in read(spark, sf_dir, "documents").collect()}
+    known = {r.doc_id: r.quality for r in read(spark, sf_dir, "labels").collect()
+             if r.quality is not None and zlib.crc32(str(r.doc_id).encode()) % 3 != 1}
+    x = {i: quality.features(t) for i, t in texts.items()}
+    good, bad = (np.array([x[i].astype(np.float32) for i in sorted(x) if known.get(i) == q], float)
+                 for q in (1, 0))
+    model = quality.fit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    both = np.concatenate([good, bad])
+    spread = both.std(axis=0)
+    scale = np.where(spread > 1e-4, 1 / np.maximum(spread, 1e-4), 0)
+    random = np.random.default_rng(7)
+    pairs = (good[random.integers(0, len(good), quality.PAIRS)]
+             - bad[random.integers(0, len(bad), quality.PAIRS)]) * scale
+    weights = np.divide(model.weights, scale, out=np.zeros(len(scale)), where=scale > 0)
+    slope = quality.RIDGE * weights - pairs.T @ (1 / (1 + np.exp(pairs @ weights)))
+    assert np.abs(slope).max() < 1e-4 * quality.PAIRS
+    raw = {i: float((v - both.mean(axis=0)) @ model.weights) for i, v in x.items()}
+    learned = np.array([raw[i] for i in sorted(x) if i in known])
+    below = (learned < model.threshold).sum()
+    # Counted in steps, so those within a step of the threshold may be on either side.
+    near = (np.abs(learned - model.threshold) <= 2 / quality.STEPS).sum()
+    assert abs(below - sum(known[i] == 0 for i in x if i in known)) <= near
+    for r in queries.op7_pairwise_quality(spark, sf_dir).collect():
+        want = 1 / (1 + np.exp(-np.clip(raw[r.doc_id] - model.threshold, -500, 500)))
+        assert abs(r.score - want) < 1e-6 and r.predicted == int(r.score >= 0.5)
+
+
+def test_quantile_steps():
+    assert quality.quantile_step([5, 1, 9], [2, 3, 5], 0.3) == 3.5
+    assert quality.quantile_step([5, 1, 9], [2, 3, 5], 0.5) == 7.5
+    assert quality.quantile_step([4], [7], 0.2) == 5.0
+
+
 def test_quality_awkward_rows(spark):
     docs = helpers.documents(spark)
     labels = spark.createDataFrame(

@@ -4,13 +4,15 @@ A document's score is linear in features of its whole text: shares of byte value
 measures of words, lines, repetition and length. Of every preference pair (a text marked good, one
 marked bad) the chance that the first wins is the logistic of the score difference; the weights
 minimize the logistic loss over pairs with a ridge, by Newton steps. The threshold is the quantile
-of the training scores at the share of bad labels; the score given out is the logistic of the
-distance to it, so 0.5 is the threshold.
+of the scores of all labelled rows that aren't held out, at the share of bad labels; the score given
+out is the logistic of the distance to it, so 0.5 is the threshold.
 
-The fit takes at most `SAMPLE_PER_CLASS` labelled rows of each class, chosen by a hash of doc_id,
-and `PAIRS` pairs of them. Everything else covers all rows.
+The fit of the weights takes at most `SAMPLE_PER_CLASS` labelled rows of each class, chosen by a hash of
+doc_id, and `PAIRS` pairs of them. Everything else covers all rows: for the threshold, all documents are
+scored once, and labelled scores are counted by steps of 1 / `STEPS`.
 
-Null text counts as empty, and empty texts get a score like any other. Labels whose doc_id or
+Null text counts as empty, and empty texts get a score like any other. Long texts are measured whole.
+Labels whose doc_id or
 quality is null are left out; several labels of one doc_id count by their mean. Without labels
 of both classes all scores are 0.5. Rows that repeat a doc_id each get a row. A null doc_id is
 scored and not held out. Empty table: no rows.
@@ -20,7 +22,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +35,9 @@ SAMPLE_PER_CLASS = 4000
 PAIRS = 40_000
 RIDGE = 1.0
 NEWTON_STEPS = 12
+# Scores are counted for the threshold in steps of this part of a log odds, between these bounds.
+STEPS = 1024
+FARTHEST = 64
 
 _MEASURES = 8
 FEATURES = 129 + _MEASURES
@@ -68,15 +73,17 @@ class Model:
     weights: np.ndarray
     threshold: float
 
-    def scores(self, texts: list[bytes]) -> np.ndarray:
+    def raw(self, texts: list[bytes]) -> np.ndarray:
         if not texts:
             return np.zeros(0)
-        raw = (np.array([features(t) for t in texts]) - self.mean) @ self.weights
-        return 1 / (1 + np.exp(-np.clip(raw - self.threshold, -500, 500)))
+        return (np.array([features(t) for t in texts]) - self.mean) @ self.weights
+
+    def scores(self, texts: list[bytes]) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.raw(texts) - self.threshold, -500, 500)))
 
 
-def fit_pairs(good: np.ndarray, bad: np.ndarray, bad_share: float, seed: int = 7) -> Model:
-    """Bradley-Terry weights from good and bad feature rows; `bad_share` sets the threshold."""
+def fit_pairs(good: np.ndarray, bad: np.ndarray, seed: int = 7) -> Model:
+    """Bradley-Terry weights from good and bad feature rows; the threshold is 0 yet."""
     if not len(good) or not len(bad):
         return Model(np.zeros(FEATURES), np.zeros(FEATURES), 0.0)
     both = np.concatenate([good, bad])
@@ -92,15 +99,17 @@ def fit_pairs(good: np.ndarray, bad: np.ndarray, bad_share: float, seed: int = 7
         slope = RIDGE * weights - differences.T @ lost
         curve = (differences * (lost * (1 - lost))[:, None]).T @ differences
         weights -= np.linalg.solve(curve + RIDGE * np.eye(FEATURES), slope)
-    weights *= scale
-    raw = (both - mean) @ weights
-    # The sample is not drawn by class shares, so its rows are weighted to the labels' shares.
-    weight = np.concatenate([np.full(len(good), (1 - bad_share) / len(good)),
-                             np.full(len(bad), bad_share / len(bad))])
-    order = np.argsort(raw, kind="stable")
-    at = int(np.searchsorted(np.cumsum(weight[order]), bad_share))
-    above = min(at + 1, len(order) - 1)
-    return Model(mean, weights, float((raw[order[min(at, above)]] + raw[order[above]]) / 2))
+    return Model(mean, weights * scale, 0.0)
+
+
+def quantile_step(steps: list[int], counts: list[int], share: float) -> float:
+    """Of numbers counted by step, a bound with this share of them below, in steps: in the middle of the
+    gap up to the next step that has any."""
+    order = np.argsort(steps)
+    steps, counts = np.array(steps)[order], np.array(counts)[order]
+    at = min(int(np.searchsorted(np.cumsum(counts), share * counts.sum() - 1e-9)), len(steps) - 1)
+    after = min(at + 1, len(steps) - 1)
+    return float(steps[at] + 1 + steps[after]) / 2 if after > at else float(steps[at]) + 1
 
 
 def held_out(doc_id: str = "doc_id") -> F.Column:
@@ -140,8 +149,29 @@ def fit(documents: DataFrame, labels: DataFrame) -> Model:
         return np.array([np.frombuffer(r["features"], np.float32) for r in found
                          if r["good"] == good], np.float64).reshape(-1, FEATURES)
 
-    total = counts.get(True, 0) + counts.get(False, 0)
-    return fit_pairs(matrix(True), matrix(False), counts.get(False, 0) / max(1, total))
+    model = fit_pairs(matrix(True), matrix(False))
+    if not counts.get(True) or not counts.get(False):
+        return model
+    bad_share = counts[False] / (counts[True] + counts[False])
+    return replace(model, threshold=_threshold(documents, known, model, bad_share))
+
+
+def _threshold(documents: DataFrame, known: DataFrame, model: Model, bad_share: float) -> float:
+    """The quantile of all labelled scores at the share of bad labels."""
+
+    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            raw = np.clip(model.raw(as_bytes(batch)), -FARTHEST, FARTHEST)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(np.floor(raw * STEPS).astype(np.int32))],
+                ["doc_id", "step"])
+
+    rows = documents.select(F.col("doc_id").cast("bigint"), "text").where("doc_id is not null")
+    steps = arrow_map(rows, measured, "doc_id bigint, step int")
+    found = steps.join(known.select("doc_id"), "doc_id").groupBy("step").count().collect()
+    if not found:
+        return 0.0
+    return quantile_step([r["step"] for r in found], [r["count"] for r in found], bad_share) / STEPS
 
 
 def score(documents: DataFrame, model: Model) -> DataFrame:
