@@ -42,8 +42,9 @@ def _exact(rows):
     return out
 
 
-@pytest.mark.parametrize("owners", [1, 3])
-def test_exact_awkward_rows(spark, owners):
+@pytest.mark.parametrize("owners,bound", [(1, 0), (3, 0), (3, 10**6)])
+def test_exact_awkward_rows(spark, owners, bound, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "BROADCAST_SUSPECTS", bound)
     out = exact_dedup.deduplicate(helpers.documents(spark), owners)
     got = helpers.rows_of(out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256"))
     assert len(got) == len(helpers.AWKWARD) and set(got) == _exact(helpers.AWKWARD)

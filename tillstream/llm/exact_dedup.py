@@ -6,12 +6,14 @@
 2. An owner decodes its messages, finds the fingerprints that came from more than one block, and
    answers each block with a bitmap over its own sorted fingerprints.
 3. Documents whose bit is set, or whose block had the fingerprint twice, are suspects. Their texts
-   are fetched by key, partly aggregated, shuffled by their bytes and compared byte by byte.
+   alone, partly aggregated, are shuffled by their bytes and compared byte by byte. Up to
+   `BROADCAST_SUSPECTS` of them are told by a broadcast of their names; beyond, all texts are shuffled
+   once to fetch theirs.
 
 Texts are equal when identical after deleting ASCII white space. Of equal texts the one with most
 code points stays, then the smallest doc_id.
 
-Null text counts as empty; all empty texts are equal. Rows that repeat a doc_id with equal text
+Null text counts as empty; all empty texts are equal. Very long texts are compared whole. Rows that repeat a doc_id with equal text
 count each in group_size and share its decision. A null doc_id loses to any other; if no other is
 there, the row keeps itself (keep_id null). Empty table: no rows. Other columns are not carried.
 """
@@ -33,6 +35,8 @@ from tillstream.llm.common import arrow_map, as_bytes, slices, stored, text_key
 WHITE_SPACE = b" \t\n\x0b\x0c\r"
 FINGERPRINT_BITS = 56
 BLOCK_DOCUMENTS = 1 << 20
+# So many names of suspects, 16 bytes each, are sent to all executors at most.
+BROADCAST_SUSPECTS = 1_000_000
 
 # Rank of a row is code points x step - doc_id; a null doc_id counts as one behind all.
 _STEP = 10**20
@@ -163,14 +167,17 @@ def deduplicate(documents: DataFrame, owners: int | None = None) -> DataFrame:
 
     suspects = marked.where("suspect")
     wanted = suspects.select("doc_id", "text_key").distinct()
-    texts = documents.select(
-        F.col("doc_id").cast("bigint"), text_key().alias("text_key"),
-        F.coalesce(F.char_length("text"), F.lit(0)).alias("n_chars"),
-        F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]", "").alias("bare"))
+    # Few suspects go to where the texts are; beyond the bound texts and suspects meet by a shuffle.
+    if suspects.count() <= BROADCAST_SUSPECTS:
+        wanted = F.broadcast(wanted)
+    texts = documents.select(F.col("doc_id").cast("bigint"), text_key().alias("text_key"), "text")
     named = F.col("texts.doc_id").eqNullSafe(F.col("wanted.doc_id"))
     texts = (texts.alias("texts")
              .join(wanted.alias("wanted"),
-                   named & (F.col("texts.text_key") == F.col("wanted.text_key")), "left_semi"))
+                   named & (F.col("texts.text_key") == F.col("wanted.text_key")), "left_semi")
+             .select("doc_id", F.coalesce(F.char_length("text"), F.lit(0)).alias("n_chars"),
+                     F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]", "")
+                     .alias("bare")))
     # More code points first, then the smaller doc_id: one number that a partial maximum can hold.
     # A null doc_id sorts behind all others.
     rank = F.expr(f"cast(n_chars as decimal(10, 0)) * {_STEP}BD"
