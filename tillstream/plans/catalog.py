@@ -31,13 +31,14 @@ from tillstream.sinks.rankings import (
     append_once, append_rankings, ranking_rows, read_rankings, replace_rankings,
 )
 from tillstream.sinks.topic import to_topic_records, unified_records, write_topic
-from tillstream.sources.csv_sales import read_csv_sales, read_csv_sales_by_name
+from tillstream.sources.csv_sales import read_csv_sales, read_csv_sales_by_name, retired_to
 from tillstream.sources.legacy import poll_legacy, read_legacy_sales
 from tillstream.sources.relational import (
     advance_mark, poll, relational_records, save_mark, scan_since,
 )
 from tillstream.sources.topic import read_topic
 from tillstream.streaming import open_windows, running, series, watermarks
+from tillstream.streaming.progress import progress_samples
 from tillstream.streaming.jobs import (
     normalization_job, quarantine_job, ranking_job, ranking_quarantine_job, run_available,
 )
@@ -412,6 +413,32 @@ def csv_stream_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(schemas.CSV_SALE).parquet(f"{base}/out")
 
 
+@query
+def csv_failing_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two portions of files, retired once they are read. The second portion's micro-batch fails in the
+    middle of a file and is run again: no row is lost, none is there twice."""
+    base = run_dir(spark, "csv-failing")
+    rows = csv_rows(read_sales(spark, sf_dir))
+    half = _number_of("sale_id") % 2
+
+    def run(cells: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> None:
+        stream = read_csv_sales(spark, f"{base}/in", streaming=True, options=retired_to(f"{base}/done"))
+        run_available(cells(stream).writeStream.format("parquet").option("path", f"{base}/out")
+                      .option("checkpointLocation", f"{base}/checkpoint"))
+
+    def fail_midway(rows: DataFrame) -> DataFrame:
+        broken = _number_of("sale_id") % 100 == 51
+        return rows.withColumn("city", F.when(broken, F.raise_error(F.lit("lost"))).otherwise(F.col("city")))
+
+    rows.where(half == 0).write.option("header", True).csv(f"{base}/in/first")
+    run()
+    rows.where(half == 1).write.option("header", True).csv(f"{base}/in/second")
+    with suppress(StreamingQueryException):
+        run(fail_midway)
+    run()
+    return spark.read.schema(schemas.CSV_SALE).parquet(f"{base}/out")
+
+
 @query
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = run_dir(spark, "csv")
@@ -1041,6 +1068,24 @@ def stream_failed_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_window_text(found).select(*CITY_COLUMNS, "versions")
 
 
+@query
+def stream_gauges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A normalization stream's own metrics, newest values: quality counters and the lag of its sources."""
+    base = run_dir(spark, "stream-gauges")
+    sales = read_sales(spark, sf_dir)
+    for source, part in _parts(sales).items():
+        number = F.pmod("event_id", F.lit(5))
+        damaged = part.withColumns({
+            "sale_id": F.when(number == 1, "").otherwise(F.col("sale_id")),
+            "amount": F.when(number == 2, F.lit(0)).otherwise(F.col("amount")).cast("decimal(18,2)")})
+        write_topic(source_records(damaged, source), f"{base}/{source}", fmt="parquet")
+    topics = {source: read_topic(spark, f"{base}/{source}", fmt="parquet") for source in C.SOURCES}
+    query = run_available(normalization_job(topics, f"{base}/unified", f"{base}/checkpoint", fmt="text"))
+    newest = metrics.latest_gauge(progress_samples(spark, query), "series")
+    return newest.where("series like 'source_lag/%' or series rlike 'observed/quality_[a-z]+/'").select(
+        "series", "value")
+
+
 # --- metrics on a grid of steps --------------------------------------------------------------
 
 def _range_rate(spark: SparkSession, sf_dir: str, step: int, seconds: int) -> DataFrame:

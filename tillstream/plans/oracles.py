@@ -307,6 +307,20 @@ WHERE nth = 1"""
 # What the watermark of a stream of samples has passed at the end.
 _PASSED = "epoch_us(ts) <= (SELECT (max(epoch_us(ts)) // 1000 - 5000) * 1000 FROM events)"
 
+_COUNTED = """
+SELECT source, count(*) AS records,
+       count(*) FILTER (WHERE source <> 'postgres' AND event_id % 5 = 1) AS empty_sale_id,
+       count(*) FILTER (WHERE event_id % 5 = 2 OR CAST(value AS DECIMAL(18,2)) = 0) AS zero_amount,
+       0 AS time_fallback, 0 AS unstorable_amount
+FROM (SELECT *, CASE WHEN event_type IN ('signup', 'click') THEN 'postgres'
+                     WHEN event_type IN ('view', 'error') THEN 'files' ELSE 'legacy' END AS source
+      FROM events) GROUP BY source"""
+
+_GAUGES = " UNION ALL ".join(
+    [f"SELECT 'source_lag/{k}' AS series, CAST(0 AS DOUBLE) AS value" for k in range(3)]
+    + [f"SELECT 'observed/quality_' || source || '/{name}', CAST({name} AS DOUBLE) FROM ({_COUNTED})"
+       for name in ("records", "empty_sale_id", "zero_amount", "time_fallback", "unstorable_amount")])
+
 _RUNNING = " UNION ALL ".join(
     f"SELECT {portion} AS portion, {_CITY} FROM ({_ranked('city', f'event_id % 3 <= {portion}')})"
     for portion in range(3))
@@ -518,6 +532,8 @@ SELECT event_type, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, value FROM (
             " WHERE event_id % 17 <> 0") + ")",
         "stream_replay": f"SELECT {_CITY} FROM ({_closed(_ranked('city'), _STREAMED_MS)})",
         "stream_idle_source": f"SELECT {_CITY} FROM ({_closed(_ranked('city'), _STREAMED_MS)})",
+        "csv_failing_file": _CSV,
+        "stream_gauges": _GAUGES,
         "stream_counter_rate_6h": _rate(f"SELECT * FROM ({_COUNTER}) WHERE {_PASSED}", "series", 21600),
         "stream_alert_lag": _breaches(
             "SELECT event_type, event_id, ts, value * 500 AS value FROM events WHERE " + _PASSED,

@@ -61,6 +61,12 @@ def read_csv_sales_by_name(spark: SparkSession, path: str, *, streaming: bool =
     return lines.mapInArrow(_bind, CSV_SALE)
 
 
+def retired_to(archive: str) -> dict[str, str]:
+    """Options of a streaming read: files go to `archive` once the micro-batch that took them has been
+    committed. A file whose micro-batch fails stays where it is and is taken again as a whole."""
+    return {"cleanSource": "archive", "sourceArchiveDir": archive}
+
+
 def _bind(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     file, names = None, []
     for batch in batches:
