@@ -41,6 +41,7 @@ from tillstream.streaming import open_windows, running, series, watermarks
 from tillstream.streaming.progress import progress_samples
 from tillstream.streaming.jobs import (
     normalization_job, quarantine_job, ranking_job, ranking_quarantine_job, run_available,
+    start_continuous,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -993,8 +994,8 @@ def stream_source_watermarks(spark: SparkSession, sf_dir: str) -> DataFrame:
             "event_time TIMESTAMP, amount DECIMAL(18,2), city STRING").parquet(f"{base}/{source}/*")
             for source in C.SOURCES}
         events = watermarks.with_source_watermarks(streams, heartbeats=f"{base}/beats")
-        return ranking_job(events, "city", f"{base}/table", f"{base}/checkpoint",
-                           one_watermark=False).trigger(processingTime="0 seconds").start()
+        return start_continuous(ranking_job(events, "city", f"{base}/table", f"{base}/checkpoint",
+                                            one_watermark=False), "0 seconds")
 
     def settle(query: StreamingQuery) -> None:
         query.processAllAvailable()
