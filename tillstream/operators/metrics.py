@@ -64,7 +64,8 @@ def counter_rate(samples: DataFrame, series: Sequence[str] | str, window_seconds
                      row.alias("row")),
             F.struct((_slice_of(at, width) + _SLICES).alias("slice"), F.lit(False).alias("is_own"),
                      F.when(F.lit(False), row).alias("row")))).alias("to"),
-    ).select(*by, "v", "at_us", "tie", "to.*")
+    ).select(*by, "v", "at_us", "tie", "to.*").repartition(*by, "slice")
+    # Dealt by series and slice, it serves the windows over parts of a slice as well.
 
     # Running sums of the steps in each slice, 0 at its first sample.
     part = Window.partitionBy(*by, "slice", "is_own")
