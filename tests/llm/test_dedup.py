@@ -101,10 +101,26 @@ def _components(pairs):
 
 
 def test_near_awkward_rows(spark):
-    short = [(i, t if t is None or len(t) < 1000 else t[:900]) for i, t in helpers.AWKWARD]
-    got = near_dedup.components(helpers.documents(spark, short)).drop("text_key")
+    got = near_dedup.components(helpers.documents(spark)).drop("text_key")
     assert sorted(helpers.rows_of(got), key=str) == _components(
-        [(i, _simhash(t or "")) for i, t in short])
+        [(i, _simhash(t or "")) for i, t in helpers.AWKWARD])
+
+
+def test_a_doc_id_with_different_texts(spark):
+    """Each row counts by its own text."""
+    passage = " ".join(f"w{k}" for k in range(60))
+    rows = [(1, passage), (1, "quite another text with words of its own"), (2, passage),
+            (2, passage + " and more"), (3, "quite another text with words of its own")]
+    near = near_dedup.components(helpers.documents(spark, rows)).drop("text_key")
+    assert sorted(helpers.rows_of(near), key=str) == _components(
+        [(i, _simhash(t)) for i, t in rows])
+    removed = substrings.remove_repeats(helpers.documents(spark, rows))
+    assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept) for r in removed.collect()) == [
+        (1, 8, 0, rows[1][1]), (1, 60, 0, passage), (2, 60, 60, ""), (2, 62, 60, "and more"),
+        (3, 8, 0, rows[4][1])]
+    exact = exact_dedup.deduplicate(helpers.documents(spark, rows))
+    assert {(r.doc_id, r.keep_id, r.group_size) for r in exact.collect()} == {
+        (1, 1, 2), (2, 1, 2), (2, 2, 1), (3, 1, 2)}
 
 
 def test_near_whole_table(spark, sf_dir):

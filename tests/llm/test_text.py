@@ -283,6 +283,16 @@ def test_quality_awkward_rows(spark):
     assert quality.score(helpers.documents(spark, []), unlabelled).collect() == []
 
 
+def test_quality_of_a_doc_id_with_different_texts(spark):
+    rows = [(1, "fine words"), (1, "!!!! ????"), (2, "fine words"), (4, "!?!?!"), (5, "more fine words")]
+    labels = spark.createDataFrame([(1, 1), (2, 1), (4, 0), (5, 1)], "doc_id bigint, quality int")
+    docs = helpers.documents(spark, rows)
+    got = quality.score(docs, quality.fit(docs, labels)).collect()
+    assert sorted(r.doc_id for r in got) == [1, 1, 2, 4, 5]
+    first, other = ({r.score for r in got if r.doc_id == i} for i in (2, 1))
+    assert first < other and len(other) == 2
+
+
 def test_labels_of_held_out_rows_do_not_matter(spark):
     docs = helpers.documents(spark, [(i, f"text {i} " + "!?" [i % 2] * i) for i in range(60)])
     rows = [(i, i % 2) for i in range(60)]

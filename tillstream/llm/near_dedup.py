@@ -10,7 +10,7 @@ Only distinct fingerprints go to the grid, so copies cost nothing there. A cell'
 give a spanning forest of its links, not all pairs. A cell with many of them is dealt to
 tasks by pairs of parts, so that no task gets more than two parts.
 
-Null text counts as empty. A text without words has fingerprint zero and links like any other.
+Null text counts as empty, very long texts are hashed whole. A text without words has fingerprint zero and links like any other.
 Rows that repeat a doc_id each get a row. A null doc_id counts for no component id unless there is
 none other. Empty table: no rows. Other columns are not carried.
 """

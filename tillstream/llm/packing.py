@@ -6,8 +6,8 @@ is a power of two, so nothing is padded, and sequences of equal length form one
 
 There is no shuffle: a row's pieces come from that row alone.
 
-Null or empty text: one piece that holds the end token alone. Repeated rows: each is cut by
-itself. Empty table: no rows. Null doc_id: null in its pieces. Other columns are not carried.
+Null or empty text: one piece that holds the end token alone. Very long texts are cut like any other.
+Repeated rows: each is cut by itself. Empty table: no rows. Null doc_id: null in its pieces. Other columns are not carried.
 """
 
 from __future__ import annotations

@@ -18,8 +18,8 @@ Rules are shared by the documents of a slice; a long document is a slice of its
 are, there is no shuffle.
 
 Null or empty text: no words, no runs, and the digests of nothing. Repeated rows: each counts by itself.
-Words at either end of a run never belong to two runs of one period. Empty table: no rows. Other columns
-are not carried.
+Two runs of one period may share words, fewer than the period. Empty table: no rows. Other columns are not
+carried.
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@ scan has two levels, spans of `SPAN` blocks and blocks within a span, so that a
 length is scanned by many tasks.
 
 Tokens behind a file's last separator are a document without end (`ended` false). A block without data
-counts for nothing. Empty table: no rows. A null file is a file of its own.
+counts for nothing. Empty table: no rows. A null file is a file of its own. The writer takes a null text
+as empty: a document of no tokens, which only its separator shows.
 """
 
 from __future__ import annotations
