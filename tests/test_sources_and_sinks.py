@@ -10,6 +10,7 @@ from tillstream.sinks.rankings import (
     append_rankings, compact_rankings, ranking_rows, read_rankings, replace_rankings,
 )
 from tillstream.sinks.topic import to_topic_records, write_topic
+from tillstream.sources import csv_sales
 from tillstream.sources.csv_sales import read_csv_sales, read_csv_sales_by_name
 from tillstream.sources.legacy import poll_legacy, read_legacy_sales
 from tillstream.sources.relational import load_mark, poll, save_mark, scan_since
@@ -55,10 +56,26 @@ def test_csv_by_name_finds_headers_of_split_files(spark, tmp_path):
     try:
         rows = read_csv_sales_by_name(spark, str(tmp_path))
         assert rows.select("sale_id").distinct().count() == rows.count() == 3000
+        assert rows.rdd.getNumPartitions() > 5
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_csv_by_name_in_both_ways(spark, tmp_path, monkeypatch):
+    """By position for each header, and file by file: repeated names, odd file names, empty files."""
+    (tmp_path / "a b%20c.csv").write_text("sale_id,city,city\nF1,X\nF2,X,Y\n\nF3,X,\nF4\n")
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "header only.csv").write_text(HEADER + "\n")
+    (tmp_path / "twice.csv").write_text(f"{HEADER}\n{HEADER}\nF5,Ann,X,BR,1.0,P,D\n")
+    found = []
+    for layouts in (32, 1):
+        monkeypatch.setattr(csv_sales, "LAYOUTS", layouts)
+        found.append(sorted(map(tuple, read_csv_sales_by_name(spark, str(tmp_path)).collect()), key=str))
+    assert found[0] == found[1]
+    assert {(r[0], r[2]) for r in found[0]} == {
+        ("F1", "X"), ("F2", "Y"), ("F3", ""), ("F4", None), ("F5", "X"), ("sale_id", "city")}
+
+
 def test_csv_stream_takes_each_file_once(spark, tmp_path):
     source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
     (tmp_path / "in").mkdir()
