@@ -25,7 +25,8 @@ HEADLINE = (
     "topic_roundtrip", "rankings_replace", "latest_versions", "latest_rankings_city",
     "rankings_for_window_salesman", "city_response",
     "counter_rate_5m", "counter_rate_6h", "histogram_quantile", "sustained_breaches",
-    "latest_gauge", "stream_top_cities_hourly", "stream_end_to_end",
+    "latest_gauge", "range_rate_6h", "range_alert_p95", "stream_top_cities_hourly",
+    "stream_end_to_end", "stream_alert_lag", "stream_running_ranking",
 )
 
 

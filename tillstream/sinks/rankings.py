@@ -49,14 +49,22 @@ def replace_rankings(rows: DataFrame, path: str) -> None:
     those dates are read, and their maximum is all that passes through the driver.
     """
     table = _existing(rows.sparkSession, path, rows.schema)
-    if table is not None:
+    if table is None:
+        append_rankings(rows, path)
+        return
+    # Rankings are few rows; they are worked out once, for their dates and for the write.
+    rows = rows.persist()
+    try:
         newest = table.join(rows.select(PARTITION).distinct(), PARTITION, "left_semi").agg(
             F.max("updated_at").alias("updated_at"), F.max("batch_id").alias("batch_id")).first()
+        above = rows
         if newest["updated_at"] is not None:
-            rows = rows.withColumns({
+            above = rows.withColumns({
                 "updated_at": F.greatest("updated_at", F.lit(newest["updated_at"])),
                 "batch_id": F.lit(newest["batch_id"] + 1).cast("bigint")})
-    append_rankings(rows, path)
+        append_rankings(above, path)
+    finally:
+        rows.unpersist()
 
 
 def append_once(rows: DataFrame, path: str) -> None:
@@ -64,14 +72,20 @@ def append_once(rows: DataFrame, path: str) -> None:
 
     A job that fails between its write and its commit runs the micro-batch again. Its windows leave the
     aggregation once, so what stands in the table under its number is what it wrote; a write is committed
-    as a whole or not at all. For a table with one writer.
+    as a whole or not at all. For a table with one writer and one checkpoint.
     """
     table = _existing(rows.sparkSession, path, rows.schema)
-    if table is not None:
+    if table is None:
+        append_rankings(rows, path)
+        return
+    rows = rows.persist()
+    try:
         written = (table.join(rows.select(PARTITION).distinct(), PARTITION, "left_semi")
                    .select("window_start", "batch_id").distinct())
-        rows = rows.join(written, ["window_start", "batch_id"], "left_anti").select(*rows.columns)
-    append_rankings(rows, path)
+        append_rankings(rows.join(written, ["window_start", "batch_id"], "left_anti")
+                        .select(*rows.columns), path)
+    finally:
+        rows.unpersist()
 
 
 def compact_rankings(log: DataFrame, path: str) -> None:
