@@ -109,10 +109,12 @@ def test_scan_takes_nulls_and_no_rows(spark):
     assert helpers.rows_of(tokens.count_tokens(tokens.search(blocks.limit(0), 0))) == []
 
 
-def test_written_files_are_found_again(spark, monkeypatch):
+@pytest.mark.parametrize("width", [2, 4])
+def test_written_files_are_found_again(spark, width):
     docs = helpers.documents(spark)
-    files = tokens.write_blocks(docs, queries.WORD_BPE, queries.END_OF_DOCUMENT, 16)
-    got = tokens.count_tokens(tokens.search(files, queries.END_OF_DOCUMENT))
+    files = tokens.write_blocks(docs, queries.WORD_BPE, queries.END_OF_DOCUMENT, 16, width)
+    assert max(len(r.data) for r in files.collect()) == 16 * width
+    got = tokens.count_tokens(tokens.search(files, queries.END_OF_DOCUMENT, width))
     plain = Tokenizer.from_file(queries.WORD_BPE)
     plain.encode_special_tokens = True
     want = sorted(len(plain.encode(t or "", add_special_tokens=False).ids)

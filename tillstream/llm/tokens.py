@@ -119,8 +119,9 @@ def count_tokens(found: DataFrame) -> DataFrame:
 
 
 def write_blocks(documents: DataFrame, tokenizer_path: str, separator: int,
-                 block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """Documents as flat files of 16-bit ids, one file for each partition, in blocks.
+                 block_tokens: int = BLOCK_TOKENS, width: int = 2) -> DataFrame:
+    """Documents as flat files of ids of `width` bytes, one file for each partition, in blocks. An id that
+    needs more bytes is an error.
 
     Besides (file, block, data) a row has `doc_ids`, the documents that end in the block: a
     listing kept apart from the files, for whoever wants to name what the scan finds. Strings of
@@ -129,17 +130,21 @@ def write_blocks(documents: DataFrame, tokenizer_path: str, separator: int,
 
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, file = word_ids(tokenizer_path, as_text=True), TaskContext.get().partitionId()
-        end, size = np.array([separator], "<u2"), 2 * block_tokens
+        kind, most = {2: "<u2", 4: "<u4"}[width], 1 << 8 * width
+        end, size = np.array([separator], kind), width * block_tokens
         held, listed, block = b"", [], 0
         for batch in slices(batches):
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), as_bytes(batch),
                                     strict=True):
-                ids = np.frombuffer(encode(known, text), "<u4").astype("<u2")
-                held += ids.tobytes()
-                while len(held) >= size:
-                    yield _block(file, block, held[:size], listed)
-                    held, listed, block = held[size:], [], block + 1
-                held += end.tobytes()
+                ids = np.frombuffer(encode(known, text), "<u4")
+                if len(ids) and ids.max() >= most:
+                    raise ValueError(f"id {ids.max()} doesn't fit {width} bytes")
+                held += ids.astype(kind).tobytes()
+                start = 0
+                while len(held) - start >= size:
+                    yield _block(file, block, held[start:start + size], listed)
+                    start, listed, block = start + size, [], block + 1
+                held = held[start:] + end.tobytes()
                 listed.append(doc_id)
                 if len(held) == size:
                     yield _block(file, block, held, listed)
