@@ -108,6 +108,23 @@ def test_running_ranking_follows_every_portion_and_a_repeated_batch(spark, tmp_p
     assert sorted(map(tuple, again.collect()), key=str) == before
 
 
+def test_running_ranking_is_written_by_window_not_by_one_task(spark, tmp_path):
+    start = 1_771_459_200
+    spark.createDataFrame([(start + 3600 * hour, float(hour % 7 + k), f"city{k}")
+                           for hour in range(48) for k in range(3)], "s bigint, a double, city string").select(
+        F.timestamp_seconds("s").alias("event_time"), F.col("a").cast("decimal(18,2)").alias("amount"),
+        "city").write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema("event_time TIMESTAMP, amount DECIMAL(18,2), city STRING").parquet(
+        f"{tmp_path}/in")
+    run_available(running.running_ranking_job(stream, "city", str(tmp_path / "out"),
+                                              str(tmp_path / "checkpoint"), n=2, out_of_order="9 days"))
+    changes = running.ranking_changes(spark, str(tmp_path / "out"), "city")
+    rows = changes.select("window_start", F.input_file_name().alias("file")).collect()
+    assert len(rows) == 96 and len({r.window_start for r in rows}) == 48
+    assert len({(r.window_start, r.file) for r in rows}) == 48
+    assert len({r.file for r in rows}) > 1
+
+
 def test_open_and_closed_windows_make_up_all(spark, tmp_path):
     sales = with_amounts(spark, sales_rows(4))
     sales.write.parquet(f"{tmp_path}/in/p=0")

@@ -6,8 +6,8 @@ changes in the first ranks is logged as rows taken back and rows put in. Both lo
 micro-batch, written as a whole, so a micro-batch that runs again replaces its own rows and sees only
 those of earlier ones.
 
-Nothing is ranked in one task: totals are folded and cut to the first ranks as in batch. Only windows that
-changed are read, by their dates.
+Nothing is ranked or written in one task: totals are folded and cut to the first ranks as in batch, and
+changes are written by window. Only windows that changed are read, by their dates.
 """
 
 from __future__ import annotations
@@ -97,11 +97,11 @@ def _rank_changes(key: str, path: str, n: int) -> Callable[[DataFrame, int], Non
         now = top_n_per_window(newest, key, n).select(*ranked_columns)
         earlier = ranking_changes(spark, path, key).where(of_changed & (F.col(BATCH) < batch_id))
         before = folded(earlier.join(changed, "window_start", "left_semi"))
+        # Dealt by window: a file for each task that has one, and 2 n rows of a window at most.
         both = now.withColumn("change", F.lit(INSERT)).unionByName(
-            before.withColumn("change", F.lit(RETRACT)))
+            before.withColumn("change", F.lit(RETRACT))).repartition("window_start")
         # What is the same before and after is no change.
         moved = both.groupBy(*ranked_columns).agg(F.sum("change").cast("int").alias("change"))
-        (moved.where("change != 0").coalesce(1).write.mode("overwrite")
-         .parquet(f"{path}/changes/{own}"))
+        moved.where("change != 0").write.mode("overwrite").parquet(f"{path}/changes/{own}")
 
     return rank_changes
