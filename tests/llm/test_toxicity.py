@@ -120,6 +120,17 @@ def test_toxic_words_are_learned_from_the_rows_allowed(spark):
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in scored)
 
 
+def test_every_byte_is_a_symbol_of_its_own(spark):
+    alone = [toxicity.codes([bytes([b])], 3)[0][0] for b in range(256)]
+    assert len(set(alone)) == 256
+    # Texts of both classes that differ in a digit, a mark, a case or a letter beyond ASCII alone.
+    pairs = [("b7b", "b3b"), ("w?", "w!"), ("Gnu", "gnu"), ("\u0430\u0431", "\u0430\u0441"), ("\xe9t", "\xf9t")]
+    rows = [(i, f"river {pairs[i % 5][i // 5 % 2]} stone") for i in range(400)]
+    marks = spark.createDataFrame([(i, i // 5 % 2) for i, _ in rows], "doc_id bigint, toxic int")
+    found = toxicity.score(documents(spark, rows), marks).collect()
+    assert [r["doc_id"] for r in found if r["predicted"] != r["doc_id"] // 5 % 2] == []
+
+
 def test_scores_follow_the_ratio(spark, sf_dir):
     found = op11_kneser_ney_toxicity(spark, sf_dir).collect()
     assert len(found) == spark.read.parquet(f"{sf_dir}/documents.parquet").count()

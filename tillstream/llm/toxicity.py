@@ -1,7 +1,7 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
-A text is a sequence of symbols: its UTF-8 bytes, folded to an alphabet of 50 (letters without case, four
-for the rest of ASCII, 20 for bytes beyond). Two models of `ORDER` symbols are fitted, to texts marked toxic and to all others. Both discount their own counts and give what they take
+A text is a sequence of symbols: its UTF-8 bytes as they are, none taken for another, and one more
+symbol around the text. Two models of `ORDER` symbols are fitted, to texts marked toxic and to all others. Both discount their own counts and give what they take
 off to one shared backoff: the Kneser-Ney model of the shorter context, whose continuation counts come
 from all documents, marked or not. So a rare expression that neither class has seen weighs alike in
 both, and one that a single class has seen speaks for it.
@@ -10,8 +10,8 @@ What counts is the mean log-likelihood ratio per symbol. It becomes the score by
 two parameters, fitted to all marked rows that aren't held out. Their ratios are taken without their own
 counts, so they are like those of rows the models haven't seen.
 
-A table of symbol sequences has at most 50^`ORDER` entries, 6.25 million, whatever the input is, so models fit
-every task; those that occur in the corpus are kept. Counts are summed by task before they travel, over all rows. To be counted by class, texts are
+A table holds the sequences of `ORDER` bytes that occur in the corpus. Text has few of them (132,000 in 173 MB,
+growing ever slower), so models fit every task. Counts are summed by task before they travel, over all rows. To be counted by class, texts are
 joined with their marks once; scoring has no shuffle but of one number per row and class.
 
 Null text counts as empty. Marks with a null doc_id or value are left out; several marks of a doc_id count
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from tillstream.llm.common import arrow_map, as_bytes, slices, stored
 
-SYMBOLS = 50
+SYMBOLS = 257
 ORDER = 4
 DISCOUNT = 0.75
 # Steps of the ratio by which marked rows are counted for the logistic function.
@@ -40,36 +40,24 @@ STEPS = 4096
 NEWTON_STEPS = 25
 RIDGE = 1e-6
 
-
-
-def _fold() -> np.ndarray:
-    """Symbol of each byte."""
-    table = np.full(256, 29, np.int32)
-    table[[32, *range(9, 14)]] = 0
-    for first in (65, 97):
-        table[first:first + 26] = np.arange(1, 27)
-    table[48:58], table[ord("-")] = 27, 28
-    # Bytes that go on with a letter, and bytes that begin one.
-    table[128:192] = 30 + (np.arange(128, 192) & 15)
-    table[192:] = 46 + (np.arange(192, 256) & 3)
-    return table
-
-
-_SYMBOL = _fold()
+# Symbol of each byte: every byte value is one of its own, 0 is what stands around a text.
+_SYMBOL = np.arange(1, SYMBOLS)
 
 
 def codes(texts: list[bytes], order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
     """Codes of all sequences of `order` symbols, a text's end included, and where each text's start."""
     before = b" " * (order - 1)
     joined = np.frombuffer(b"".join(before + t + b" " for t in texts), np.uint8)
+    sizes = np.array([len(t) + order for t in texts], np.int64)
+    ends = np.cumsum(sizes)
     symbols = _SYMBOL[joined]
+    for k in range(order):
+        symbols[ends - sizes + k - 1] = 0
     out = symbols[:len(symbols) - order + 1].copy()
     for k in range(1, order):
         out = out * SYMBOLS + symbols[k:len(symbols) - order + 1 + k]
-    sizes = np.array([len(t) + order for t in texts], np.int64)
     # What reaches over into the next text is no sequence.
     own = np.ones(len(symbols), bool)
-    ends = np.cumsum(sizes)
     for k in range(1, order):
         own[ends - k] = False
     starts = np.concatenate([[0], np.cumsum(sizes - order + 1)[:-1]]) if texts else ends
@@ -96,33 +84,43 @@ def _counted(rows: DataFrame, order: int, marked: bool) -> DataFrame:
                 totals[mark] = both, added
         for mark, (found, count) in totals.items():
             yield pa.RecordBatch.from_arrays(
-                [pa.array([mark] * len(found), pa.bool_()), pa.array(found.astype(np.int32)),
+                [pa.array([mark] * len(found), pa.bool_()), pa.array(found),
                  pa.array(count)], ["toxic", "code", "count"])
 
     chosen = rows.select("text", "toxic") if marked else rows.select("text")
-    return (arrow_map(chosen, counted, "toxic boolean, code int, count bigint")
+    return (arrow_map(chosen, counted, "toxic boolean, code bigint, count bigint")
             .groupBy("toxic", "code").agg(F.sum("count").alias("count")))
 
 
-def shared_backoff(seen: np.ndarray, order: int = ORDER) -> np.ndarray:
-    """Kneser-Ney probabilities of a symbol after order - 2 others, by code, from the codes of `order`
-    symbols that the corpus has."""
-    types = np.zeros(SYMBOLS ** order, bool)
-    types[seen] = True
-    levels = [types.reshape((SYMBOLS,) * order)]
-    while levels[-1].ndim > 1:
-        levels.append(levels[-1].any(axis=0))
-    # Continuation counts: how many different symbols stand before a sequence.
-    known = np.full(SYMBOLS, 1 / SYMBOLS)
-    for longer in levels[-2::-1]:
-        counts = longer.sum(axis=0)
-        if counts.ndim == 1:
-            known = (counts + 0.5) / (counts + 0.5).sum()
-            continue
-        totals = counts.sum(axis=-1, keepdims=True)
-        kinds = (counts > 0).sum(axis=-1, keepdims=True)
-        known = np.where(totals > 0, discounted(counts, totals, kinds, known), known)
-    return known.reshape(-1)
+def shared_backoff(seen: np.ndarray, order: int = ORDER, wanted: np.ndarray | None = None) -> np.ndarray:
+    """Kneser-Ney probabilities of a symbol after order - 2 others, by code or for the wanted codes, from
+    the codes of `order` symbols that the corpus has."""
+    types, levels = seen, []
+    for size in range(order - 1, 0, -1):
+        # Continuation counts: how many different symbols stand before a sequence.
+        types, before = np.unique(types % SYMBOLS ** size, return_counts=True)
+        levels.append((types, before))
+    if wanted is None:
+        wanted = np.arange(SYMBOLS ** (order - 1))
+    types, before = levels.pop()
+    single = np.full(SYMBOLS, 0.5)
+    single[types] += before
+    known = (single / single.sum())[wanted % SYMBOLS]
+    for size in range(2, order):
+        types, before = levels.pop()
+        contexts, first, kinds = np.unique(types // SYMBOLS, return_index=True, return_counts=True)
+        totals = np.add.reduceat(before, first)
+        code = wanted % SYMBOLS ** size
+        here, its_kinds = _at(contexts, code // SYMBOLS, totals, kinds)
+        known = discounted(_at(types, code, before)[0], here, its_kinds, known)
+    return known
+
+
+def _at(keys: np.ndarray, wanted: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
+    """Values of the wanted keys, 0 for those that aren't among the ascending `keys`."""
+    place = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    there = keys[place] == wanted
+    return [np.where(there, v[place], 0) for v in values]
 
 
 def discounted(counts: np.ndarray, totals: np.ndarray, kinds: np.ndarray,
@@ -202,7 +200,7 @@ def marks(labels: DataFrame) -> DataFrame:
 def fit(documents: DataFrame, known: DataFrame, order: int = ORDER) -> Models | None:
     """Models of the documents marked in `known`; None without both classes."""
     rows = documents.select(F.col("doc_id").cast("bigint"), "text")
-    # Bounded by the number of codes.
+    # As many rows as different codes.
     # One kind of join at every size, built from the marks; texts aren't sorted for it.
     by_class = _counted(rows.join(known.hint("shuffle_hash"), "doc_id"), order, True).toArrow()
     marks_of, of_class, count = (by_class.column(c).to_numpy() for c in ("toxic", "code", "count"))
@@ -211,8 +209,7 @@ def fit(documents: DataFrame, known: DataFrame, order: int = ORDER) -> Models |
     seen = np.sort(_counted(rows, order, False).select("code").toArrow().column("code").to_numpy())
     counts = np.zeros((2, len(seen)), np.int64)
     counts[marks_of.astype(int), np.searchsorted(seen, of_class)] = count
-    shared = shared_backoff(seen, order)
-    return Models(order, seen, counts, shared[seen % len(shared)])
+    return Models(order, seen, counts, shared_backoff(seen, order, seen % SYMBOLS ** (order - 1)))
 
 
 def logistic(ratio: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
