@@ -83,5 +83,20 @@ def test_a_doc_id_with_different_texts(spark):
     assert sorted((r.doc_id, r.component_id) for r in got.collect()) == [(3, 3), (5, 3), (5, 5), (9, 5)]
 
 
+def test_bit_counts_of_segments_find_what_no_stretch_of_bits_shares(spark):
+    random = np.random.default_rng(8)
+    one = random.integers(0, 2, edited_copies.BITS)
+    # The bits of one segment in every stretch of 16 are swapped: no stretch stays, all counts do.
+    one[::16], one[1::16] = 0, 1
+    swapped, near, far = one.copy(), one.copy(), random.integers(0, 2, edited_copies.BITS)
+    swapped[::16], swapped[1::16] = 1, 0
+    near[random.permutation(edited_copies.BITS)[:31]] ^= 1
+    prints = [(k, np.packbits(bits).view(np.int64).tolist())
+              for k, bits in enumerate((one, swapped, near, far))]
+    found = edited_copies.candidates(spark.createDataFrame(prints, "set_key bigint, print array<bigint>"))
+    root = dict(map(tuple, found.collect()))
+    assert root[0] == root[1] == root[2] != root[3]
+
+
 def test_no_rows(spark):
     assert edited_copies.components(helpers.documents(spark, [])).collect() == []

@@ -1,17 +1,25 @@
-"""Near-duplicates by Jaccard similarity of word shingles: SimHash tables find, exact sets decide.
-
-At a similarity of 0.8 a 64-bit SimHash differs in about ten bits, beyond the radius the grid of
-`near_dedup` serves. So a text gets a SimHash of `BITS` bits over its distinct shingles, cut into
-bands of 16 bits, a table for each. What shares a band and differs in at most `REACH` of the first
-128 bits is a candidate. Candidates are joined to clusters, and inside a cluster the texts are
-compared by the exact similarity of their shingle sets until its links are spanned.
-
-Bands are independent, so of pairs at 0.8 exactly about 1 % share none; such a pair is still
-compared if other texts lead from one to the other. Pairs above it are missed more rarely.
-
-Only distinct shingle sets enter tables. The tables are gone through in rounds of ever more bands;
+"""Near-duplicates by Jaccard similarity of word shingles: a grid over SimHash bit counts finds, exact
+sets decide.
+
+The way is that of `near_dedup`, for a longer fingerprint. A text gets a SimHash of `BITS` bits over its
+distinct shingles. It is embedded as the bit counts of its segments of two bits; the Manhattan distance of
+two embeddings is never above the Hamming distance of the fingerprints. The segments are dealt to parts
+of `PART_SEGMENTS`, `DEALS` times anew. Each part has a grid with a cell for every vector of counts. Two
+embeddings at a distance below 32 equal each other in a part (no change of a segment touches more than two
+of a deal's 48, and one of each 64 bits is in two), so they meet there for certain; farther ones meet with
+a chance that falls with the distance. What meets is verified: at most
+`REACH` of the first 128 bits may differ. Candidates are joined to clusters, and inside a cluster the texts
+are compared by the exact similarity of their shingle sets until its links are spanned.
+
+At a similarity of 0.8 some 15 % of the bits differ, in 27 % of the segments. A part of two such
+fingerprints is equal in 3 % of the cases, and of such pairs about 1 % share no cell of the 144 parts; such a
+pair is still compared if other texts lead from one to the other. Pairs above it are missed more rarely.
+Cells a step away, which serve `near_dedup`'s half of a fingerprint, would give each part tenfold the rows
+for four times the chance; more parts find the same with fewer rows.
+
+Only distinct shingle sets enter grids. The grids are gone through in rounds of ever more parts;
 after a round what is joined counts as one, so a large group of near copies is joined by the first few
-tables and gives no more links from the others. Full cells and large clusters are dealt to tasks by
+grids and gives no more links from the others. Full cells and large clusters are dealt to tasks by
 `linking`, in rows linear in their size if they are tight.
 
 Words are those of `near_dedup.simhash`. A text of fewer words than a shingle is one shingle; texts
@@ -28,7 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillstream.llm.common import (
@@ -39,6 +47,7 @@ from tillstream.llm.common import (
     text_key,
 )
 from tillstream.llm.linking import contracted, linked, spread
+from tillstream.llm.near_dedup import segment_counts
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -46,8 +55,12 @@ BITS = 1024
 REACH = 32
 CELL_PART = 2048
 CLUSTER_PART = 256
-# Bands of each round. The first few join large groups.
-ROUNDS = (2, 6, 16, 40)
+# Segments of two bits in 64 bits of the SimHash, those of a part, and how often they are dealt anew.
+WORD_SEGMENTS = 32
+PART_SEGMENTS = 11
+DEALS = 3
+# Parts of each round, 144 in all. The first few join large groups.
+ROUNDS = (4, 12, 32, 48, 48)
 # In cells of so many all pairs are looked at, at once for all cells.
 SMALL_CELL = 16
 
@@ -55,6 +68,23 @@ _SEEDS = np.random.default_rng(6).integers(1, 2**63, BITS // 64, np.uint64) * np
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
 
 
+def _parts() -> list[tuple[int, int]]:
+    """(word, mask of the counts of its segments) of all parts, deal by deal. Those of a deal cover all
+    segments."""
+    random, out = np.random.default_rng(9), []
+    firsts = [*range(0, WORD_SEGMENTS - PART_SEGMENTS, PART_SEGMENTS), WORD_SEGMENTS - PART_SEGMENTS]
+    for _ in range(DEALS):
+        dealt = [random.permutation(WORD_SEGMENTS) for _ in range(BITS // 64)]
+        for first in firsts:
+            for word, order in enumerate(dealt):
+                mask = sum(3 << 2 * int(k) for k in order[first:first + PART_SEGMENTS])
+                out.append((word, mask - (1 << 64) if mask >> 63 else mask))
+    return out
+
+
+PARTS = _parts()
+
+
 def shingles(text: bytes, words: int = SHINGLE_WORDS) -> np.ndarray:
     """XXH64 of the distinct shingles, ascending."""
     found = text.lower().split()
@@ -90,16 +120,11 @@ def _hashed(documents: DataFrame, words: int) -> DataFrame:
             keys = np.array([xxhash.xxh64_intdigest(s.tobytes()) for s in sets], np.uint64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_key"), pa.array(keys.view(np.int64)),
-                 pa.array([simhash(s) for s in sets], pa.binary())],
+                 pa.array([np.frombuffer(simhash(s), np.int64) for s in sets], pa.list_(pa.int64()))],
                 ["doc_id", "text_key", "set_key", "print"])
 
     rows = documents.select(F.col("doc_id").cast("bigint"), text_key().alias("text_key"), "text")
-    return arrow_map(rows, hashed, "doc_id bigint, text_key bigint, set_key bigint, print binary")
-
-
-def _number(start: int, size: int) -> Column:
-    """Bytes of the print as a number."""
-    return F.conv(F.hex(F.substring("print", start + 1, size)), 16, -10).cast("bigint")
+    return arrow_map(rows, hashed, "doc_id bigint, text_key bigint, set_key bigint, print array<bigint>")
 
 
 def _near(prints: np.ndarray, member: np.ndarray) -> np.ndarray:
@@ -129,19 +154,21 @@ def _cell_candidates(table: pa.Table, starts: np.ndarray) -> list[tuple[np.ndarr
 
 
 def candidates(prints: DataFrame, part: int = CELL_PART) -> DataFrame:
-    """(set_key, root) of all: those whose prints share a band and are within reach have a root in
-    common."""
+    """(set_key, root) of all: those whose embeddings share a cell of a part's grid and whose prints are
+    within reach have a root in common."""
     sets = stored(prints.select("set_key", F.col("set_key").alias("root"), "print"), "clusters")
     first = 0
-    for bands in ROUNDS:
+    for size in ROUNDS:
+        # The counts of a part, the others left out, are its cell.
         cells = sets.select(
-            F.col("set_key").alias("member"), "root", _number(0, 8).alias("high"),
-            _number(8, 8).alias("low"), F.inline(F.array(*(
-                F.struct(F.lit(i).alias("band"), _number(2 * i, 2).alias("cell"))
-                for i in range(first, first + bands)))))
-        joined = linked(cells, ["band", "cell"], _cell_candidates, part)
+            F.col("set_key").alias("member"), "root", F.col("print")[0].alias("high"),
+            F.col("print")[1].alias("low"), F.inline(F.array(*(
+                F.struct(F.lit(i).alias("part"), segment_counts(F.col("print")[word]).bitwiseAND(
+                    F.lit(mask)).alias("cell"))
+                for i, (word, mask) in enumerate(PARTS[first:first + size], first)))))
+        joined = linked(cells, ["part", "cell"], _cell_candidates, part)
         sets = stored(contracted(sets, joined), "clusters")
-        first += bands
+        first += size
     return sets.select("set_key", "root")
 
 

@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstream.llm.common import (
@@ -83,12 +83,16 @@ def fingerprints(documents: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
     return arrow_map(rows, hashed, "doc_id bigint, text_key bigint, print bigint")
 
 
+def segment_counts(bits: Column) -> Column:
+    """Bit counts of the 32 segments of 64 bits, two bits each, in one number."""
+    upper = F.shiftrightunsigned(bits, 1)
+    return F.shiftleft(upper.bitwiseAND(bits).bitwiseAND(F.lit(_EVEN_BITS)), 1).bitwiseOR(
+        upper.bitwiseXOR(bits).bitwiseAND(F.lit(_EVEN_BITS)))
+
+
 def _cells(prints: DataFrame) -> DataFrame:
     """(half, cell, print): the cells a fingerprint goes to in the grids of both halves."""
-    # Counts of all segments, two bits each, in one number.
-    upper = F.shiftrightunsigned("print", 1)
-    counts = F.shiftleft(upper.bitwiseAND(F.col("print")).bitwiseAND(F.lit(_EVEN_BITS)), 1).bitwiseOR(
-        upper.bitwiseXOR(F.col("print")).bitwiseAND(F.lit(_EVEN_BITS)))
+    counts = segment_counts(F.col("print"))
     halves = F.array(F.struct(F.lit(0).alias("half"),
                               counts.bitwiseAND(F.lit(0xFFFFFFFF)).alias("cell")),
                      F.struct(F.lit(1).alias("half"),
