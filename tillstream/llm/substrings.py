@@ -38,7 +38,7 @@ from tillstream.llm.common import arrow_map, as_bytes, slices, stored, text_key
 WINDOW_WORDS = 50
 MINIMISER_WORDS = 8
 BUCKET_RUNS = 20_000
-BUCKET_WORDS = 1 << 20
+BUCKET_WORDS = 1 << 18
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _MIXER = np.uint64(0xFF51AFD7ED558CCD)
@@ -49,7 +49,7 @@ class _WordHash(dict):
     """Word to its hash; starts anew when full."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 300_000:
+        if len(self) >= 100_000:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word)
         return value
