@@ -60,7 +60,7 @@ WORD_SEGMENTS = 32
 PART_SEGMENTS = 11
 DEALS = 3
 # Parts of each round, 144 in all. The first few join large groups.
-ROUNDS = (4, 12, 32, 48, 48)
+ROUNDS = (4, 20, 60, 60)
 # In cells of so many all pairs are looked at, at once for all cells.
 SMALL_CELL = 16
 
@@ -159,13 +159,18 @@ def candidates(prints: DataFrame, part: int = CELL_PART) -> DataFrame:
     sets = stored(prints.select("set_key", F.col("set_key").alias("root"), "print"), "clusters")
     first = 0
     for size in ROUNDS:
-        # The counts of a part, the others left out, are its cell.
-        cells = sets.select(
+        # The counts of a part, the others left out, are its cell. One expression for all parts: the
+        # driver's plans don't grow with them.
+        parts = F.array(*(F.struct(F.lit(i).alias("part"), F.lit(word).alias("word"),
+                                   F.lit(mask).cast("bigint").alias("mask"))
+                          for i, (word, mask) in enumerate(PARTS[first:first + size], first)))
+        counts = sets.select("set_key", "root", "print",
+                             F.transform("print", segment_counts).alias("counts"))
+        cells = counts.select(
             F.col("set_key").alias("member"), "root", F.col("print")[0].alias("high"),
-            F.col("print")[1].alias("low"), F.inline(F.array(*(
-                F.struct(F.lit(i).alias("part"), segment_counts(F.col("print")[word]).bitwiseAND(
-                    F.lit(mask)).alias("cell"))
-                for i, (word, mask) in enumerate(PARTS[first:first + size], first)))))
+            F.col("print")[1].alias("low"), F.inline(F.transform(parts, lambda p: F.struct(
+                p["part"].alias("part"),
+                F.get("counts", p["word"]).bitwiseAND(p["mask"]).alias("cell")))))
         joined = linked(cells, ["part", "cell"], _cell_candidates, part)
         sets = stored(contracted(sets, joined), "clusters")
         first += size
