@@ -176,6 +176,39 @@ def test_roots_of_chains_stars_and_loops(spark):
     assert graph.roots(empty).collect() == []
 
 
+def test_few_links_need_no_round(spark, monkeypatch):
+    """The driver plans one query that writes, whatever the shape of the links."""
+    written, write = [], graph.stored_at
+    monkeypatch.setattr(graph, "stored_at", lambda df, name: written.append(name) or write(df, name))
+    links = [(i, i + 1) for i in range(300)] + [(1000, i) for i in range(1001, 1300)] + [(300, 5)]
+    got = dict(helpers.rows_of(graph.roots(spark.createDataFrame(links, "a bigint, b bigint"))))
+    assert got == {i: 0 for i in range(1, 301)} | {i: 1000 for i in range(1001, 1300)}
+    assert len(written) == 1
+
+
+@pytest.mark.parametrize("rows", [1, 7, 50])
+def test_roots_of_links_of_many_tasks(spark, rows, monkeypatch):
+    monkeypatch.setattr(graph._flattened, "__defaults__", (rows,))
+    monkeypatch.setattr(graph, "_flattened", lambda links, f=graph._flattened: f(
+        links.repartition(5, "low")))
+    random = np.random.default_rng(rows)
+    links = random.integers(-200, 200, (260, 2)).tolist() + [(300 + i, 301 + i) for i in range(40)]
+    parent = {}
+
+    def find(x):
+        while x in parent:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        low, high = sorted((find(a), find(b)))
+        if low != high:
+            parent[high] = low
+    got = helpers.rows_of(graph.roots(spark.createDataFrame(links, "a bigint, b bigint")))
+    assert len(got) == len(dict(got))
+    assert dict(got) == {k: find(k) for k in parent}
+
+
 def _removed(rows, window):
     first = {}
     for doc_id, text in rows:
